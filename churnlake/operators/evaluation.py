@@ -46,14 +46,13 @@ def threshold_metrics(
 
 
 def roc_auc(
-    df: DataFrame, score: str = "p", label: str = "Churn", by: Sequence[str] = (), buckets: int = 4096,
-    digits: int | None = 4,
+    df: DataFrame, score: str = "p", label: str = "Churn", by: Sequence[str] = (), digits: int | None = 4,
 ) -> DataFrame:
     """Area under the ROC curve with ties counted half; null when a class is missing.
 
     Twice the number of correctly ordered pairs is an integer, summed exactly as DECIMAL.
     """
-    steps = cumulative_counts(df, score, label, by, buckets)
+    steps = cumulative_counts(df, score, label, by)
 
     def big(c):
         return F.col(c).cast("decimal(18,0)")
@@ -91,12 +90,12 @@ def confusion_cells(
         *by, "actual", "predicted", "n", percent(F.col("n"), F.col("row_n")).alias("row_pct"))
 
 
-def roc_curve(df: DataFrame, score: str = "p", label: str = "Churn", by: Sequence[str] = (), buckets: int = 4096) -> DataFrame:
+def roc_curve(df: DataFrame, score: str = "p", label: str = "Churn", by: Sequence[str] = ()) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score; the origin is the point before the highest score.
 
     Class totals are one row per group and come from the counts, not from a second pass over the data.
     """
-    steps = cumulative_counts(df, score, label, by, buckets)
+    steps = cumulative_counts(df, score, label, by)
     totals = steps.groupBy(*[F.col(k).alias(f"_{k}") for k in by]).agg(
         F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     if by:

@@ -33,17 +33,42 @@ def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
     )
 
 
-def cumulative_counts(
-    df: DataFrame, score: str, label: str, by: Sequence[str] = (), buckets: int = 4096,
-) -> DataFrame:
+def _rank_bucket(df: DataFrame, value: str, cuts: str, depth: int, bucket: str) -> DataFrame:
+    """Number of ``cuts`` (an ascending array of 2 ** depth - 1 values) below ``value``, by bisection.
+
+    One projection per level keeps each expression small; Spark compiles them into one stage.
+    """
+    result = df.withColumn(bucket, F.lit(0))
+    for level in reversed(range(depth)):
+        step = 2 ** level
+        below = F.get(cuts, F.col(bucket) + (step - 1)) < F.col(value)
+        result = result.withColumn(bucket, F.col(bucket) + F.when(below, step).otherwise(0))
+    return result
+
+
+def cumulative_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = (), depth: int = 8) -> DataFrame:
     """(by..., score, pos, neg, pos_above, neg_above): counts at and strictly above each distinct score.
 
-    Scores lie in [0, 1]. The running sum restarts in each of ``buckets`` equal score intervals, and the
-    counts above an interval, at most ``buckets`` rows per group, are broadcast and added.
+    A sketch cuts each group into 2 ** depth score intervals of about equally many rows, however the scores
+    are concentrated; equal scores are merged before they are ordered. The running sum restarts in every
+    interval, and the counts above an interval, at most 2 ** depth rows per group, are broadcast and added.
+    The cuts only balance the work: any cuts give the same result.
     """
-    counts = score_counts(df, score, label, by).withColumn(
-        "bucket", F.least(F.floor(F.col("score") * buckets), F.lit(buckets - 1)).cast("int"))
-    totals = counts.groupBy(*by, "bucket").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q"))
+    buckets = 2 ** depth
+    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    cut = F.percentile_approx(F.col(score), [i / buckets for i in range(1, buckets)], 20 * buckets)
+    counts = score_counts(df, score, label, by)
+    if by:
+        cuts = known.groupBy(*[F.col(k).alias(f"_{k}") for k in by]).agg(cut.alias("_cuts"))
+        same = F.lit(True)
+        for k in by:
+            same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        placed = counts.join(F.broadcast(cuts), same).drop(*[f"_{k}" for k in by])
+    else:
+        placed = counts.withColumn("_cuts", known.agg(cut).scalar())
+    placed = _rank_bucket(placed, "score", "_cuts", depth, "bucket").drop("_cuts")
+
+    totals = placed.groupBy(*by, "bucket").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q"))
     higher = Window.partitionBy(*by).orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *[F.col(k).alias(f"_{k}") for k in by], F.col("bucket").alias("_bucket"),
@@ -51,7 +76,7 @@ def cumulative_counts(
         F.coalesce(F.sum("q").over(higher), F.lit(0)).alias("_neg"),
     )
     inside = Window.partitionBy(*by, "bucket").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    local = counts.withColumns({
+    local = placed.withColumns({
         "above_p": F.coalesce(F.sum("pos").over(inside), F.lit(0)),
         "above_n": F.coalesce(F.sum("neg").over(inside), F.lit(0)),
     })
