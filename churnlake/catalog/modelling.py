@@ -334,7 +334,7 @@ _prediction("prd_3_rounded_probability", ["ChurnProbability", "ChurnProbabilityP
 
 @query("prd_4_tier", over("scored", f"SELECT customerID, p, {TIER} AS RiskCategory FROM scored"))
 def _(t: Tables):
-    return t.scored.select("customerID", "p", risk_tier(F.col("p")).alias("RiskCategory"))
+    return t.scored.selectExpr("customerID", "p", f"{risk_tier('p')} AS RiskCategory")
 
 
 _prediction("prd_5_risk_score", ["RiskScore"])

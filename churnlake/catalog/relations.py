@@ -6,11 +6,10 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from churnlake.operators import cleaning, encoding, features, scoring, splitting
 from churnlake.sources.tables import customers_from_orders
-from churnlake.spec import ENGINEERED, TELCO
+from churnlake.spec import TELCO
 
 # Three logistic scorers with given coefficients over encoded features: stand-ins for fitted models, so that
 # everything after the probability can be compared with SQL value by value.
@@ -66,16 +65,15 @@ class Tables:
     def split(self) -> DataFrame:
         return splitting.split_and_fold(self.ml)
 
-    @cached_property
-    def carried(self) -> DataFrame:
-        """Encoded features with the readable columns of the same customer beside them in one struct."""
-        original = self.clean.withColumn("original", F.struct(*self.clean.columns))
-        return encoding.encode(features.add_business_features(original), self.levels)
+    def carried(self, *names: str) -> DataFrame:
+        """Encoded inputs of the named scorers, with the readable columns of the same customer in one struct."""
+        original = self.clean.selectExpr("*", f"struct({', '.join(self.clean.columns)}) AS original")
+        inputs = [c for n in names for c in SCORERS[n][1]]
+        return encoding.encode_saved(features.add_business_features(original), list(dict.fromkeys(inputs)))
 
     def scored_by(self, name: str) -> DataFrame:
         intercept, weights = SCORERS[name]
-        p = scoring.logistic_score(weights, intercept, SCORE_DIGITS)
-        return self.carried.select("original.*", p.alias("p"))
+        return self.carried(name).selectExpr("original.*", f"{scoring.logistic_score(weights, intercept, SCORE_DIGITS)} AS p")
 
     @cached_property
     def scored(self) -> DataFrame:
@@ -84,11 +82,10 @@ class Tables:
     @cached_property
     def scored_by_model(self) -> DataFrame:
         """(model, customerID, Churn, p) of all scorers from one scan."""
-        structs = [
-            F.struct(F.lit(n).alias("model"), scoring.logistic_score(w, b, SCORE_DIGITS).alias("p"))
-            for n, (b, w) in SCORERS.items()
-        ]
-        return self.carried.select("customerID", "Churn", F.inline(F.array(*structs)))
+        structs = ", ".join(
+            f"named_struct('model', '{n}', 'p', {scoring.logistic_score(w, b, SCORE_DIGITS)})"
+            for n, (b, w) in SCORERS.items())
+        return self.carried(*SCORERS).selectExpr("customerID", "Churn", f"inline(array({structs}))")
 
     @cached_property
     def predictions(self) -> DataFrame:
@@ -118,5 +115,3 @@ def query(name: str, sql: str | None = None):
 
     return register
 
-
-__all__ = ["ENGINEERED", "ORACLES", "QUERIES", "SCORERS", "Tables", "query"]

@@ -1,54 +1,47 @@
-"""Right-closed value bands as ``CASE`` expressions."""
+"""Right-closed value bands and risk tiers as ``CASE`` text."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from churnlake import spec as S
+from churnlake.functions.text import literal
 
 
-def band(value: Column, edges: Sequence[float], labels: Sequence, outside: Column) -> Column:
-    """``labels[i]`` where ``edges[i] < value <= edges[i + 1]``, else ``outside``."""
-    result = outside
-    for low, high, label in reversed(list(zip(edges, edges[1:], labels))):
-        result = F.when((value > low) & (value <= high), F.lit(label)).otherwise(result)
-    return result
+def band(value: str, edges: Sequence[float], labels: Sequence, outside: str) -> str:
+    """``labels[i]`` where ``edges[i] < value <= edges[i + 1]``, else the expression ``outside``."""
+    cases = " ".join(
+        f"WHEN {value} > {low} AND {value} <= {high} THEN {literal(label)}"
+        for low, high, label in zip(edges, edges[1:], labels))
+    return f"CASE {cases} ELSE {outside} END"
 
 
-def band_code(value: Column, edges: Sequence[float], overflow: str = "lowest") -> Column:
+def band_code(value: str, edges: Sequence[float], overflow: str = "lowest") -> str:
     """Position of the band, 0 for values outside all bands.
 
     ``overflow="top"`` puts values above the last edge into the highest band instead.
     """
     codes = list(range(len(edges) - 1))
-    outside = F.lit(0)
-    if overflow == "top":
-        outside = F.when(value > edges[-1], F.lit(codes[-1])).otherwise(F.lit(0))
-    elif overflow != "lowest":
+    if overflow not in ("lowest", "top"):
         raise ValueError("overflow is 'lowest' or 'top'")
-    return band(value, edges, codes, outside).cast("int")
+    outside = "0" if overflow == "lowest" else f"CASE WHEN {value} > {edges[-1]} THEN {codes[-1]} ELSE 0 END"
+    return band(value, edges, codes, outside)
 
 
-def tenure_group(outside: str = S.OUT_OF_RANGE_LABEL) -> Column:
-    return band(F.col("tenure"), S.TENURE_EDGES, S.TENURE_LABELS, F.lit(outside))
+def tenure_group(outside: str = S.OUT_OF_RANGE_LABEL) -> str:
+    return band("tenure", S.TENURE_EDGES, S.TENURE_LABELS, literal(outside))
 
 
-def charges_band(outside: str = S.OUT_OF_RANGE_LABEL) -> Column:
-    return band(F.col("MonthlyCharges"), S.CHARGE_EDGES, S.CHARGE_LABELS, F.lit(outside))
+def charges_band(outside: str = S.OUT_OF_RANGE_LABEL) -> str:
+    return band("MonthlyCharges", S.CHARGE_EDGES, S.CHARGE_LABELS, literal(outside))
 
 
-def risk_tier(probability: Column, high: float = S.HIGH_CUTOFF, medium: float = S.MEDIUM_CUTOFF) -> Column:
-    return (
-        F.when(probability >= high, S.TIERS[0]).when(probability >= medium, S.TIERS[1]).otherwise(S.TIERS[2])
-    )
+def risk_tier(probability: str, high: float = S.HIGH_CUTOFF, medium: float = S.MEDIUM_CUTOFF) -> str:
+    return (f"CASE WHEN {probability} >= {literal(high)} THEN {literal(S.TIERS[0])} "
+            f"WHEN {probability} >= {literal(medium)} THEN {literal(S.TIERS[1])} ELSE {literal(S.TIERS[2])} END")
 
 
-def tier_order(tier: Column) -> Column:
+def tier_order(tier: str) -> str:
     """0, 1, 2 from the highest tier down, for a fixed report order."""
-    result = F.lit(len(S.TIERS))
-    for position, name in reversed(list(enumerate(S.TIERS))):
-        result = F.when(tier == name, F.lit(position)).otherwise(result)
-    return result
+    cases = " ".join(f"WHEN {literal(name)} THEN {i}" for i, name in enumerate(S.TIERS))
+    return f"CASE {tier} {cases} ELSE {len(S.TIERS)} END"

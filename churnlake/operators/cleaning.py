@@ -4,46 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from churnlake import spec as S
+from churnlake.functions.text import literal, mapped, quoted, with_expressions
 
 # What counts as a number in text.
-NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
-def _stripped(column: Column) -> Column:
-    return F.trim(column, F.lit(S.WHITESPACE))
-
-
-def _mapped(column: Column, mapping: Mapping) -> Column:
-    """``mapping`` as a CASE; other values become null."""
-    pairs = list(mapping.items())
-    result = F.when(column == pairs[0][0], pairs[0][1])
-    for key, value in pairs[1:]:
-        result = result.when(column == key, value)
-    return result
+def _stripped(expression: str) -> str:
+    return f"trim(BOTH {literal(S.WHITESPACE)} FROM {expression})"
 
 
 def blank_to_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Empty or white-space-only text becomes null."""
-    return df.withColumns({c: F.when(_stripped(F.col(c)) != "", F.col(c)) for c in columns})
+    return with_expressions(df, {
+        c: f"CASE WHEN {_stripped(quoted(c))} <> '' THEN {quoted(c)} END" for c in columns})
 
 
 def text_to_double(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Text to double; anything that is not a finite number becomes null instead of failing."""
-    def parsed(name: str) -> Column:
-        text = _stripped(F.col(name).cast("string"))
-        return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    def parsed(name: str) -> str:
+        text = _stripped(f"CAST({quoted(name)} AS STRING)")
+        return f"CASE WHEN {text} RLIKE '{NUMBER_PATTERN}' THEN try_cast({text} AS DOUBLE) END"
 
-    return df.withColumns({c: parsed(c) for c in columns})
+    return with_expressions(df, {c: parsed(c) for c in columns})
 
 
 def map_flag(df: DataFrame, source: str, result: str, mapping: Mapping) -> DataFrame:
     """A readable copy of a coded column; unknown codes become null."""
-    return df.withColumn(result, _mapped(F.col(source), mapping))
+    return with_expressions(df, {result: mapped(source, mapping)})
 
 
 def fix_data_types(df: DataFrame) -> DataFrame:
@@ -65,19 +57,20 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 def strip_text(df: DataFrame) -> DataFrame:
     """Trim white space from every text column."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: _stripped(F.col(c)) for c in names})
+    return with_expressions(df, {c: _stripped(quoted(c)) for c in names})
 
 
 def collapse_verbose_no(df: DataFrame, columns: Iterable[str] = (*S.ADD_ONS, "MultipleLines")) -> DataFrame:
     """"No internet service" and "No phone service" become plain "No"."""
+    verbose = ", ".join(literal(v) for v in S.VERBOSE_NO)
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: F.when(F.col(c).isin(*S.VERBOSE_NO), "No").otherwise(F.col(c)) for c in present})
+    return with_expressions(df, {
+        c: f"CASE WHEN {quoted(c)} IN ({verbose}) THEN 'No' ELSE {quoted(c)} END" for c in present})
 
 
 def encode_target(df: DataFrame, target: str = "Churn", label: str = "ChurnLabel") -> DataFrame:
     """Keep the text as ``label`` and code the target 1/0; unknown text becomes null."""
-    coded = _mapped(F.col(target), {"Yes": 1, "No": 0}).cast("int")
-    return df.withColumns({label: F.col(target), target: coded})
+    return with_expressions(df, {label: quoted(target), target: mapped(target, {"Yes": 1, "No": 0})})
 
 
 def standardise(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlake.functions.text import mapped, quoted, with_expressions
 from churnlake.spec import TELCO, ChurnSpec
 
 Levels = dict[str, list[str]]
@@ -14,24 +15,18 @@ Levels = dict[str, list[str]]
 
 def encode_binary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Yes is 1; No and everything else is 0."""
-    return df.withColumns({c: F.when(F.col(c) == "Yes", 1).otherwise(0) for c in columns if c in df.columns})
+    return with_expressions(df, {c: mapped(c, {"Yes": 1}, 0) for c in columns if c in df.columns})
 
 
 def encode_ordinal(df: DataFrame, orders: Mapping[str, Mapping[str, int]]) -> DataFrame:
     """Codes from fixed maps, 0 for unknown text."""
-    def coded(name, order):
-        result = F.lit(0)
-        for text, code in order.items():
-            result = F.when(F.col(name) == text, code).otherwise(result)
-        return result
-
-    return df.withColumns({c: coded(c, o) for c, o in orders.items() if c in df.columns})
+    return with_expressions(df, {c: mapped(c, order, 0) for c, order in orders.items() if c in df.columns})
 
 
 def level_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct (feature, value) pairs, reduced on the map side first."""
     return (
-        df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+        df.selectExpr(*[f"CAST({quoted(c)} AS STRING) AS {quoted(c)}" for c in columns])
         .unpivot([], list(columns), "feature", "value")
         .where(F.col("value").isNotNull())
         .distinct()
@@ -55,14 +50,24 @@ def learn_levels(df: DataFrame, columns: Sequence[str], max_levels: int = 256) -
     return levels
 
 
-def one_hot(df: DataFrame, levels: Levels) -> DataFrame:
+def one_hot(df: DataFrame, levels: Levels, drop_first: bool = True) -> DataFrame:
     """0/1 columns ``<column>_<level>`` for all levels but the first; the text columns are replaced."""
     added = [
-        F.when(F.col(f"`{name}`") == value, 1).otherwise(0).alias(f"{name}_{value}")
-        for name, values in levels.items() for value in values[1:]
+        f"{mapped(name, {value: 1}, 0)} AS {quoted(f'{name}_{value}')}"
+        for name, values in levels.items() for value in values[1 if drop_first else 0:]
     ]
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in levels]
-    return df.select(*kept, *added)
+    return df.selectExpr(*[quoted(c) for c in df.columns if c not in levels], *added)
+
+
+def levels_of_columns(columns: Sequence[str], nominal: Sequence[str] = TELCO.nominal) -> Levels:
+    """The levels behind a saved column list. Scoring uses them, never the levels that a batch happens to hold."""
+    return {n: [c[len(n) + 1:] for c in columns if c.startswith(f"{n}_")] for n in nominal}
+
+
+def encode_saved(df: DataFrame, columns: Sequence[str], spec: ChurnSpec = TELCO) -> DataFrame:
+    """Encode for a model that was trained on ``columns``; no pass over the data."""
+    coded = encode_ordinal(encode_binary(df, spec.binary), spec.ordinal)
+    return one_hot(coded, levels_of_columns(columns, spec.nominal), drop_first=False)
 
 
 def encode(df: DataFrame, levels: Levels | None = None, spec: ChurnSpec = TELCO) -> DataFrame:
@@ -80,7 +85,7 @@ def drop_non_features(df: DataFrame, spec: ChurnSpec = TELCO, keep: Sequence[str
 def align(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Exactly ``columns`` in that order, 0 for the ones that are missing."""
     present = set(df.columns)
-    return df.select(
-        *[F.col(f"`{c}`") for c in keep],
-        *[F.col(f"`{c}`") if c in present else F.lit(0).alias(c) for c in columns],
+    return df.selectExpr(
+        *[quoted(c) for c in keep],
+        *[quoted(c) if c in present else f"0 AS {quoted(c)}" for c in columns],
     )

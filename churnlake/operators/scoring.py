@@ -10,20 +10,17 @@ from pyspark.sql import functions as F
 from churnlake import spec as S
 from churnlake.functions.bands import charges_band, risk_tier, tenure_group, tier_order
 from churnlake.functions.numbers import exact_mean, exact_sum, percent, round_even
+from churnlake.functions.text import literal, mapped, quoted, rounded
 from churnlake.operators.ranking import priority_rank
 
 
-def logistic_score(coefficients: Mapping[str, float], intercept: float, digits: int | None = None) -> Column:
+def logistic_score(coefficients: Mapping[str, float], intercept: float, digits: int | None = None) -> str:
     """Probability of a logistic model with given coefficients, as a column expression."""
-    z = F.lit(float(intercept))
+    z = literal(float(intercept))
     for name, weight in coefficients.items():
-        z = z + F.lit(float(weight)) * F.col(f"`{name}`")
-    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-    return p if digits is None else round_even(p, digits)
-
-
-def _yes_no(column: Column) -> Column:
-    return F.when(column == 1, "Yes").when(column == 0, "No")
+        z = f"({z} + {literal(float(weight))} * {quoted(name)})"
+    p = f"1.0D / (1.0D + exp(-({z})))"
+    return p if digits is None else rounded(p, digits)
 
 
 def build_predictions(
@@ -33,38 +30,35 @@ def build_predictions(
 ) -> DataFrame:
     """The 33 prediction columns. Customer attributes stay on their row, so no join brings them back; the
     only exchange is the count per rounded probability behind the rank."""
-    p = F.col(probability)
-    predicted = F.when(p >= F.lit(threshold), 1).otherwise(0)
-    remaining = F.greatest(F.lit(0), F.lit(lifetime) - F.col("tenure"))
+    p = quoted(probability)
+    hit = f"{p} >= {literal(threshold)}"
     known = actual is not None
-    actual_value = F.col(actual).cast("int") if known else F.lit(None).cast("int")
+    yes_no = {1: "Yes", 0: "No"}
     columns = {
-        "customerID": F.col("customerID"),
-        "ActualChurn": actual_value,
-        "ActualChurnLabel": _yes_no(actual_value) if known else F.lit("Unknown"),
-        "PredictedChurn": predicted,
-        "PredictedChurnLabel": _yes_no(predicted),
-        "ChurnProbability": round_even(p, 4),
-        "ChurnProbabilityPct": round_even(p * 100, 2),
+        "customerID": "customerID",
+        "ActualChurn": f"CAST({quoted(actual)} AS INT)" if known else "CAST(NULL AS INT)",
+        "ActualChurnLabel": mapped(actual, yes_no) if known else "'Unknown'",
+        "PredictedChurn": f"CASE WHEN {hit} THEN 1 ELSE 0 END",
+        "PredictedChurnLabel": f"CASE WHEN {hit} THEN 'Yes' ELSE 'No' END",
+        "ChurnProbability": rounded(p, 4),
+        "ChurnProbabilityPct": rounded(f"{p} * 100.0D", 2),
         "RiskCategory": risk_tier(p, high, medium),
-        "RiskScore": F.greatest(F.lit(1), F.least(F.lit(100), F.rint(p * 100).cast("int"))),
-        "MonthlyCharges": F.col("MonthlyCharges"),
-        "TotalCharges": F.col("TotalCharges"),
-        "tenure": F.col("tenure"),
-        "RevenueAtRisk": F.when(predicted == 1, F.col("MonthlyCharges")).otherwise(F.lit(0.0)),
-        "CLV": round_even(F.col("TotalCharges"), 2),
-        "EstimatedCLVAtRisk": F.when(
-            predicted == 1, round_even(F.col("MonthlyCharges") * remaining, 2)).otherwise(F.lit(0.0)),
+        "RiskScore": f"greatest(1, least(100, CAST(rint({p} * 100.0D) AS INT)))",
+        "MonthlyCharges": "MonthlyCharges",
+        "TotalCharges": "TotalCharges",
+        "tenure": "tenure",
+        "RevenueAtRisk": f"CASE WHEN {hit} THEN MonthlyCharges ELSE 0.0D END",
+        "CLV": rounded("TotalCharges", 2),
+        "EstimatedCLVAtRisk":
+            f"CASE WHEN {hit} THEN {rounded(f'MonthlyCharges * greatest(0, {lifetime} - tenure)', 2)} ELSE 0.0D END",
     }
     context = [c for c in S.PREDICTION_CONTEXT if c in df.columns]
-    rows = df.select(
-        *[c.alias(n) for n, c in columns.items()], *context,
-        tenure_group(outside).alias("TenureGroup"), charges_band(outside).alias("ChargesBand"))
-    ranked = priority_rank(rows)
-    right = F.when(F.col("PredictedChurn") == F.col("ActualChurn"), 1).otherwise(0)
-    return ranked.withColumn(
-        "IsCorrectPrediction", right if known else F.lit(None).cast("int")
-    ).select(*columns, "PriorityRank", "IsCorrectPrediction", *context, "TenureGroup", "ChargesBand")
+    rows = df.selectExpr(
+        *[f"{e} AS {n}" for n, e in columns.items()], *context,
+        f"{tenure_group(outside)} AS TenureGroup", f"{charges_band(outside)} AS ChargesBand")
+    correct = "CASE WHEN PredictedChurn = ActualChurn THEN 1 ELSE 0 END" if known else "CAST(NULL AS INT)"
+    return priority_rank(rows).selectExpr(
+        *columns, "PriorityRank", f"{correct} AS IsCorrectPrediction", *context, "TenureGroup", "ChargesBand")
 
 
 def by_priority(predictions: DataFrame) -> DataFrame:
@@ -97,7 +91,7 @@ def tier_counts(predictions: DataFrame) -> DataFrame:
     counts = predictions.groupBy("RiskCategory").agg(F.count(F.lit(1)).alias("customers"))
     total = counts.agg(F.sum("customers")).scalar()
     return counts.select(
-        tier_order(F.col("RiskCategory")).alias("tier"), "RiskCategory", "customers",
+        F.expr(tier_order("RiskCategory")).alias("tier"), "RiskCategory", "customers",
         percent(F.col("customers"), total).alias("pct")).orderBy("tier")
 
 

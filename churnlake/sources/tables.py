@@ -30,6 +30,48 @@ def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     return read_table(spark, path).where(F.col("split") == split)
 
 
+# Declared, so that no job has to read file footers first.
+CUSTOMER_COLUMNS = "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string"
+ORDER_COLUMNS = "o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz"
+
+
+def _yes_if(condition: str) -> str:
+    return f"CASE WHEN {condition} THEN 'Yes' ELSE 'No' END"
+
+
+def _add_on(condition: str) -> str:
+    return f"CASE WHEN n % 3 = 2 THEN 'No internet service' WHEN {condition} THEN 'Yes' ELSE 'No' END"
+
+
+# How each raw column follows from the customer key (k), nation (n), balance (bal), market
+# segment (seg), order count (made), order value (spend) and months since the last order (idle).
+DERIVED_COLUMNS = {
+    "customerID": "CAST(k AS STRING)",
+    "gender": "CASE WHEN k % 2 = 0 THEN 'Female' ELSE 'Male' END",
+    "SeniorCitizen": "CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END",
+    "Partner": _yes_if("n % 2 = 0"),
+    "Dependents": _yes_if("n % 3 = 0"),
+    "tenure": "CAST(CASE WHEN made <= 3 THEN 0 ELSE made * 4 END AS INT)",
+    "PhoneService": "CASE WHEN k % 10 = 3 THEN 'No' ELSE 'Yes' END",
+    "MultipleLines": "CASE WHEN k % 10 = 3 THEN 'No phone service' WHEN k % 3 = 0 THEN 'Yes' ELSE 'No' END",
+    "InternetService": "CASE n % 3 WHEN 0 THEN 'DSL' WHEN 1 THEN 'Fiber optic' ELSE 'No' END",
+    "OnlineSecurity": _add_on("k % 4 = 1"),
+    "OnlineBackup": _add_on("k % 5 < 2"),
+    "DeviceProtection": _add_on("k % 6 < 2"),
+    "TechSupport": _add_on("k % 7 < 2"),
+    "StreamingTV": _add_on("k % 8 < 3"),
+    "StreamingMovies": _add_on("k % 9 < 4"),
+    "Contract": "CASE seg WHEN 'AUTOMOBILE' THEN 'One year' WHEN 'FURNITURE' THEN 'Two year' ELSE 'Month-to-month' END",
+    "PaperlessBilling": _yes_if("k % 5 < 3"),
+    "PaymentMethod": "concat(CASE k % 4 WHEN 0 THEN 'Electronic check' WHEN 1 THEN 'Mailed check'"
+                     " WHEN 2 THEN 'Bank transfer (automatic)' ELSE 'Credit card (automatic)' END,"
+                     " CASE WHEN k % 11 = 0 THEN ' ' ELSE '' END)",
+    "MonthlyCharges": "floor(abs(bal) / 80 * 100 + 0.5D) / 100",
+    "TotalCharges": "CASE WHEN made <= 3 THEN ' ' ELSE CAST(CAST(spend / 1000 AS DECIMAL(18,2)) AS STRING) END",
+    "Churn": _yes_if("idle IS NULL OR idle >= 11"),
+}
+
+
 def customers_from_orders(spark: SparkSession, directory: str) -> DataFrame:
     """The raw customer table, derived from ``customer`` and ``orders``.
 
@@ -37,63 +79,20 @@ def customers_from_orders(spark: SparkSession, directory: str) -> DataFrame:
     orders is already one row when it is shuffled. Every fiftieth customer appears twice, which gives
     the de-duplication operators something to remove; no customer is left out.
     """
-    customer = spark.read.parquet(f"{directory}/customer.parquet")
-    orders = spark.read.parquet(f"{directory}/orders.parquet")
-    month = F.year("o_orderdate") * 12 + F.month("o_orderdate")
-    history = orders.groupBy(F.col("o_custkey").alias("k")).agg(
-        F.count(F.lit(1)).alias("n_orders"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("spend"),
-        F.max(month).alias("last_month"),
-    )
-    snapshot = orders.agg(F.max(month)).scalar()
-    base = (
-        customer.select(
-            F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("n"),
-            F.col("c_acctbal").alias("bal"), F.col("c_mktsegment").alias("seg"),
-        )
+    customer = spark.read.schema(CUSTOMER_COLUMNS).parquet(f"{directory}/customer.parquet")
+    orders = spark.read.schema(ORDER_COLUMNS).parquet(f"{directory}/orders.parquet").selectExpr(
+        "o_custkey AS k", "CAST(o_totalprice AS DECIMAL(18,2)) AS price",
+        "year(o_orderdate) * 12 + month(o_orderdate) AS month")
+    history = orders.groupBy("k").agg(
+        F.expr("count(1) AS made"), F.expr("sum(price) AS spend"), F.expr("max(month) AS last_month"))
+    snapshot = orders.agg(F.max("month")).scalar()
+    return (
+        customer.selectExpr("c_custkey AS k", "c_nationkey AS n", "c_acctbal AS bal", "c_mktsegment AS seg")
         .join(history, "k", "left")
-        .withColumns({
-            "orders_made": F.coalesce("n_orders", F.lit(0)),
-            "idle": snapshot - F.col("last_month"),
-        })
-    )
-    k, n = F.col("k"), F.col("n")
-
-    def yes_if(condition):
-        return F.when(condition, "Yes").otherwise("No")
-
-    def add_on(condition):
-        return F.when(n % 3 == 2, "No internet service").otherwise(yes_if(condition))
-
-    method = (
-        F.when(k % 4 == 0, "Electronic check").when(k % 4 == 1, "Mailed check")
-        .when(k % 4 == 2, "Bank transfer (automatic)").otherwise("Credit card (automatic)")
+        .select("k", "n", "bal", "seg", "spend", F.expr("coalesce(made, 0) AS made"),
+                (snapshot - F.col("last_month")).alias("idle"))
+        .selectExpr(
+            *[f"{expression} AS {name}" for name, expression in DERIVED_COLUMNS.items()],
+            "explode(array_repeat(1, CASE WHEN k % 50 = 0 THEN 2 ELSE 1 END)) AS copy")
+        .drop("copy")
     )
-    few = F.col("orders_made") <= 3
-    columns = {
-        "customerID": k.cast("string"),
-        "gender": F.when(k % 2 == 0, "Female").otherwise("Male"),
-        "SeniorCitizen": F.when(k % 7 == 0, 1).otherwise(0),
-        "Partner": yes_if(n % 2 == 0),
-        "Dependents": yes_if(n % 3 == 0),
-        "tenure": F.when(few, F.lit(0)).otherwise(F.col("orders_made") * 4).cast("int"),
-        "PhoneService": F.when(k % 10 == 3, "No").otherwise("Yes"),
-        "MultipleLines": F.when(k % 10 == 3, "No phone service").otherwise(yes_if(k % 3 == 0)),
-        "InternetService": F.when(n % 3 == 0, "DSL").when(n % 3 == 1, "Fiber optic").otherwise("No"),
-        "OnlineSecurity": add_on(k % 4 == 1),
-        "OnlineBackup": add_on(k % 5 < 2),
-        "DeviceProtection": add_on(k % 6 < 2),
-        "TechSupport": add_on(k % 7 < 2),
-        "StreamingTV": add_on(k % 8 < 3),
-        "StreamingMovies": add_on(k % 9 < 4),
-        "Contract": F.when(F.col("seg") == "AUTOMOBILE", "One year")
-        .when(F.col("seg") == "FURNITURE", "Two year").otherwise("Month-to-month"),
-        "PaperlessBilling": yes_if(k % 5 < 3),
-        "PaymentMethod": F.concat(method, F.when(k % 11 == 0, " ").otherwise("")),
-        "MonthlyCharges": F.floor(F.abs("bal") / 80 * 100 + F.lit(0.5).cast("double")) / 100,
-        "TotalCharges": F.when(few, " ").otherwise(
-            (F.col("spend") / 1000).cast("decimal(18,2)").cast("string")),
-        "Churn": yes_if(F.col("idle").isNull() | (F.col("idle") >= 11)),
-    }
-    copies = F.explode(F.array_repeat(F.lit(1), F.when(k % 50 == 0, 2).otherwise(1)))
-    return base.select(*[c.alias(name) for name, c in columns.items()], copies.alias("copy")).drop("copy")
