@@ -59,7 +59,7 @@ def _(t: Tables):
 
 @query("seg_5_above_average", over("clean", f"""SELECT feature, value, ChurnRate, overall.x AS OverallRate,
   ChurnRate > overall.x AS AboveAverage FROM ({_report_sql(S.FOCUS_SEGMENTS)}),
-  (SELECT {pct("sum(Churn)", "count(Churn)")} AS x FROM clean) overall"""))
+  (SELECT {pct("sum(Churn)", "count(Churn)")} AS x FROM clean) overall"""), staged=True)
 def _(t: Tables):
     return segments.flag_above_average(t.clean)
 
@@ -119,7 +119,7 @@ m AS (SELECT *, {", ".join(f"{e} AS {n}" for n, e in gaps.items())} FROM m0)"""
     return over("clean", rows, wide)
 
 
-@query("seg_7_insights", _insights_sql())
+@query("seg_7_insights", _insights_sql(), staged=True)
 def _(t: Tables):
     return insights.insights(t.clean)
 
@@ -219,7 +219,7 @@ def _(t: Tables):
   {r("tp * clv * CAST(0.3 AS DOUBLE) - fp * CAST(25 AS DOUBLE)", 2)} AS net_value
 FROM (SELECT {big("count(*) FILTER (WHERE Churn = 1 AND p >= 0.4)")} AS tp, {big("count(*) FILTER (WHERE Churn = 1 AND p < 0.4)")} AS fn,
   {big("count(*) FILTER (WHERE Churn = 0 AND p >= 0.4)")} AS fp, {big("count(*) FILTER (WHERE Churn = 0 AND p < 0.4)")} AS tn,
-  {emean("MonthlyCharges")} * CAST(32 AS DOUBLE) AS clv FROM scored)"""))
+  {emean("MonthlyCharges")} * CAST(32 AS DOUBLE) AS clv FROM scored)"""), staged=True)
 def _(t: Tables):
     value = t.scored.agg(exact_mean(F.col("MonthlyCharges"))).scalar() * F.lit(32.0)
     return scoring.campaign_value(evaluation.confusion(t.scored), value)

@@ -17,18 +17,18 @@ from churnlake.training import crossval, models
 # ---- splits and scaling ----
 
 
-@query("spl_1_split", over("split", "SELECT customerID, Churn, split FROM split"))
+@query("spl_1_split", over("split", "SELECT customerID, Churn, split FROM split"), staged=True)
 def _(t: Tables):
     return t.split.select("customerID", "Churn", "split")
 
 
 @query("spl_2_split_report", over("split", f"""SELECT split, {big("count(*)")} AS n_rows, {big("sum(Churn)")} AS churned,
-  round_even(CAST(sum(Churn) AS DOUBLE) / count(Churn) * 100.0 * 10, 0) / 10 AS churn_pct FROM split GROUP BY split"""))
+  round_even(CAST(sum(Churn) AS DOUBLE) / count(Churn) * 100.0 * 10, 0) / 10 AS churn_pct FROM split GROUP BY split"""), staged=True)
 def _(t: Tables):
     return splitting.split_report(t.split)
 
 
-@query("spl_3_folds", over("split", "SELECT customerID, Churn, fold FROM split WHERE split = 'train'"))
+@query("spl_3_folds", over("split", "SELECT customerID, Churn, fold FROM split WHERE split = 'train'"), staged=True)
 def _(t: Tables):
     return t.split.where(F.col("split") == "train").select("customerID", "Churn", "fold")
 
@@ -55,26 +55,26 @@ def _rounded(df: DataFrame, columns, digits: int) -> DataFrame:
     return df.withColumns({c: F.rint(F.col(c) * 10.0 ** digits) / 10.0 ** digits + F.lit(0.0) for c in columns})
 
 
-@query("scl_1_fit", _params_sql(6))
+@query("scl_1_fit", _params_sql(6), staged=True)
 def _(t: Tables):
     return _rounded(scaling.fit_scaler(_train(t)), ["mean", "scale"], 6)
 
 
 @query("scl_2_apply", over("split", "SELECT customerID, split, " + ", ".join(
-    f"{r(f'({c} - m_{c}) / s_{c}', 6)} AS {c}" for c in S.SCALED) + " FROM split, par", _PARAMS))
+    f"{r(f'({c} - m_{c}) / s_{c}', 6)} AS {c}" for c in S.SCALED) + " FROM split, par", _PARAMS), staged=True)
 def _(t: Tables):
     scaled = scaling.apply_scaler(t.split, scaling.fit_scaler(_train(t)))
     return _rounded(scaled.select("customerID", "split", *S.SCALED), S.SCALED, 6)
 
 
-@query("scl_3_report", _params_sql(2))
+@query("scl_3_report", _params_sql(2), staged=True)
 def _(t: Tables):
     return _rounded(scaling.fit_scaler(_train(t)), ["mean", "scale"], 2)
 
 
 @query("ml_1_class_weights", over("split", f"""SELECT customerID, Churn, {r("CAST(n AS DOUBLE) / (2.0 * n_class)", 6)} AS weight
 FROM (SELECT customerID, Churn, count(*) OVER () AS n, count(*) OVER (PARTITION BY Churn) AS n_class
-      FROM split WHERE split = 'train')"""))
+      FROM split WHERE split = 'train')"""), staged=True)
 def _(t: Tables):
     weighted = splitting.class_weights(_train(t)).select("customerID", "Churn", "weight")
     return _rounded(weighted, ["weight"], 6)
@@ -100,22 +100,22 @@ def _fit_and_score(t: Tables, name: str) -> DataFrame:
     return models.score(model, everyone).select("customerID", "Churn", "split", "p")
 
 
-@query("ml_2_logistic_regression")
+@query("ml_2_logistic_regression", staged=True)
 def _(t: Tables):
     return _fit_and_score(t, "Logistic Regression")
 
 
-@query("ml_3_decision_tree")
+@query("ml_3_decision_tree", staged=True)
 def _(t: Tables):
     return _fit_and_score(t, "Decision Tree")
 
 
-@query("ml_4_random_forest")
+@query("ml_4_random_forest", staged=True)
 def _(t: Tables):
     return _fit_and_score(t, "Random Forest")
 
 
-@query("ml_5_gradient_boosting")
+@query("ml_5_gradient_boosting", staged=True)
 def _(t: Tables):
     return _fit_and_score(t, "Gradient Boosting")
 
@@ -123,14 +123,14 @@ def _(t: Tables):
 FAST_MODELS = ("Logistic Regression", "Decision Tree")
 
 
-@query("ml_6_cross_validation")
+@query("ml_6_cross_validation", staged=True)
 def _(t: Tables):
     train = _train(t).persist()
     scored = crossval.fold_scores(train, FAST_MODELS, t.feature_names)
     return crossval.cross_validate(scored)
 
 
-@query("ml_7_final_fit")
+@query("ml_7_final_fit", staged=True)
 def _(t: Tables):
     train, everyone = _prepared(t)
     parts = []
@@ -141,19 +141,19 @@ def _(t: Tables):
     return evaluation.evaluate(parts[0].unionByName(parts[1]), by=["model"])
 
 
-@query("ml_8_feature_importances")
+@query("ml_8_feature_importances", staged=True)
 def _(t: Tables):
     train, _ = _prepared(t)
     return models.feature_importances(t.spark, models.fit("Decision Tree", train, t.feature_names), t.feature_names)
 
 
-@query("ml_9_tree_rules")
+@query("ml_9_tree_rules", staged=True)
 def _(t: Tables):
     train, _ = _prepared(t)
     return models.tree_rules(t.spark, models.fit("Decision Tree", train, t.feature_names), t.feature_names)
 
 
-@query("ml_10_reload_parity")
+@query("ml_10_reload_parity", staged=True)
 def _(t: Tables):
     train, everyone = _prepared(t)
     model = models.fit("Decision Tree", train, t.feature_names)
@@ -167,7 +167,7 @@ def _(t: Tables):
     return t.scored.select("customerID", "Churn", "p")
 
 
-@query("src_4_artefacts")
+@query("src_4_artefacts", staged=True)
 def _(t: Tables):
     """Model and scaler are written, loaded again and applied to all customers."""
     split = t.split.persist()
@@ -180,7 +180,7 @@ def _(t: Tables):
     return models.score(models.load(f"{path}/model"), scaling.apply_scaler(split, loaded)).select("customerID", "p")
 
 
-@query("snk_5_models_and_report")
+@query("snk_5_models_and_report", staged=True)
 def _(t: Tables):
     train, everyone = _prepared(t)
     path = scratch_path(t.spark, "models")
@@ -195,7 +195,7 @@ def _(t: Tables):
     return tables.read_table(t.spark, f"{path}/comparison")
 
 
-@query("evl_8_comparison_report")
+@query("evl_8_comparison_report", staged=True)
 def _(t: Tables):
     train, everyone = _prepared(t)
     cv = crossval.cross_validate(crossval.fold_scores(_train(t).persist(), FAST_MODELS, t.feature_names))
@@ -232,7 +232,7 @@ def _(t: Tables):
     return evaluation.threshold_metrics(t.scored_by_model, by=["model"])
 
 
-@query("evl_2_roc_auc", over("scored", "SELECT model, roc_auc FROM auc", _AUC))
+@query("evl_2_roc_auc", over("scored", "SELECT model, roc_auc FROM auc", _AUC), staged=True)
 def _(t: Tables):
     return evaluation.roc_auc(t.scored_by_model, by=["model"])
 
@@ -246,7 +246,7 @@ def _(t: Tables):
 
 
 @query("evl_4_roc_curve", over("scored", f"""SELECT model, p AS threshold,
-  {r("CAST(neg_above + neg AS DOUBLE) / nn", 6)} AS fpr, {r("CAST(pos_above + pos AS DOUBLE) / np", 6)} AS tpr FROM st""", _AUC))
+  {r("CAST(neg_above + neg AS DOUBLE) / nn", 6)} AS fpr, {r("CAST(pos_above + pos AS DOUBLE) / np", 6)} AS tpr FROM st""", _AUC), staged=True)
 def _(t: Tables):
     return evaluation.roc_curve(t.scored_by_model, by=["model"])
 
@@ -273,7 +273,7 @@ def _(t: Tables):
 @query("evl_7_model_choice", over("scored", f"""SELECT *, row_number() OVER (ORDER BY selection_score DESC, model) = 1 AS is_best FROM (
   SELECT model, "accuracy", "precision", recall, f1, roc_auc,
     {r("CAST(0.0 AS DOUBLE) + CAST(0.4 AS DOUBLE) * roc_auc + CAST(0.4 AS DOUBLE) * recall + CAST(0.2 AS DOUBLE) * f1", 6)} AS selection_score
-  FROM (SELECT model, {_METRICS} FROM conf) JOIN auc USING (model))""", _CONF, _AUC))
+  FROM (SELECT model, {_METRICS} FROM conf) JOIN auc USING (model))""", _CONF, _AUC), staged=True)
 def _(t: Tables):
     return evaluation.selection_score(evaluation.evaluate(t.scored_by_model, by=["model"]))
 
@@ -297,21 +297,21 @@ def _(t: Tables):
 
 
 @query("evl_10_naive_baseline", over("split", f"""SELECT {r("CAST(count(*) FILTER (WHERE Churn = 0) AS DOUBLE) / count(Churn)", 6)} AS accuracy,
-  CAST(0 AS DOUBLE) AS recall FROM split WHERE split = 'test'"""))
+  CAST(0 AS DOUBLE) AS recall FROM split WHERE split = 'test'"""), staged=True)
 def _(t: Tables):
     return evaluation.naive_baseline(t.split.where(F.col("split") == "test"))
 
 
 @query("evl_11_exported_auc", over("predictions", "SELECT roc_auc FROM auc", _AUC.replace(
     "SELECT model, p,", "SELECT 'all' AS model, ChurnProbability AS p,").replace("Churn = ", "ActualChurn = ").replace(
-    "FROM scored_models GROUP BY model, p", "FROM predictions GROUP BY ChurnProbability")))
+    "FROM scored_models GROUP BY model, p", "FROM predictions GROUP BY ChurnProbability")), staged=True)
 def _(t: Tables):
     return evaluation.roc_auc(t.predictions, "ChurnProbability", "ActualChurn")
 
 
 # ---- scoring ----
 
-@query("prd_1_fitted_probability")
+@query("prd_1_fitted_probability", staged=True)
 def _(t: Tables):
     """Every customer scored by a model fitted on the training rows, as the full prediction table."""
     train, everyone = _prepared(t)
@@ -345,7 +345,7 @@ _prediction("prd_8_clv_at_risk", ["EstimatedCLVAtRisk"])
 
 @query("prd_9_priority_rank", over(
     "scored", f"""SELECT customerID, ChurnProbability, {big("rank() OVER (ORDER BY ChurnProbability DESC)")} AS PriorityRank
-FROM (SELECT customerID, {r("p", 4)} AS ChurnProbability FROM scored)"""))
+FROM (SELECT customerID, {r("p", 4)} AS ChurnProbability FROM scored)"""), staged=True)
 def _(t: Tables):
     rounded = t.scored.select("customerID", (F.rint(F.col("p") * 1e4) / 1e4).alias("ChurnProbability"))
     return ranking.priority_rank(rounded)
@@ -364,17 +364,17 @@ def _(t: Tables):
 _prediction("prd_11_context", [*S.PREDICTION_CONTEXT, "TenureGroup", "ChargesBand"])
 
 
-@query("prd_12_sorted_predictions", over("predictions", "SELECT * FROM predictions ORDER BY ChurnProbability DESC, customerID"))
+@query("prd_12_sorted_predictions", over("predictions", "SELECT * FROM predictions ORDER BY ChurnProbability DESC, customerID"), staged=True)
 def _(t: Tables):
     return scoring.by_priority(t.predictions)
 
 
-@query("prd_13_high_risk_list", over("predictions", "SELECT * FROM predictions WHERE RiskCategory = 'High Risk'"))
+@query("prd_13_high_risk_list", over("predictions", "SELECT * FROM predictions WHERE RiskCategory = 'High Risk'"), staged=True)
 def _(t: Tables):
     return scoring.tier_list(t.predictions, S.TIERS[0])
 
 
-@query("prd_13_medium_risk_list", over("predictions", "SELECT * FROM predictions WHERE RiskCategory = 'Medium Risk'"))
+@query("prd_13_medium_risk_list", over("predictions", "SELECT * FROM predictions WHERE RiskCategory = 'Medium Risk'"), staged=True)
 def _(t: Tables):
     return scoring.tier_list(t.predictions, S.TIERS[1])
 

@@ -32,7 +32,7 @@ def _(t: Tables):
     return tables.read_table(t.spark, path)
 
 
-@query("src_3_train_side", over("split", "SELECT * FROM split WHERE split = 'train'"))
+@query("src_3_train_side", over("split", "SELECT * FROM split WHERE split = 'train'"), staged=True)
 def _(t: Tables):
     path = scratch_path(t.spark, "split")
     sinks.write_features(t.split, path)
@@ -48,7 +48,7 @@ def _(t: Tables):
 
 
 @query("snk_2_features_by_split", over(
-    "split", f"SELECT split, {big('count(*)')} AS n_rows, {big('sum(Churn)')} AS churned FROM split GROUP BY split"))
+    "split", f"SELECT split, {big('count(*)')} AS n_rows, {big('sum(Churn)')} AS churned FROM split GROUP BY split"), staged=True)
 def _(t: Tables):
     path = scratch_path(t.spark, "features")
     sinks.write_features(t.split, path)
@@ -80,7 +80,7 @@ def _(t: Tables):
 
 
 @query("snk_4_predictions_by_tier", over(
-    "predictions", "SELECT customerID, RiskCategory, ChurnProbability FROM predictions WHERE RiskCategory = 'High Risk'"))
+    "predictions", "SELECT customerID, RiskCategory, ChurnProbability FROM predictions WHERE RiskCategory = 'High Risk'"), staged=True)
 def _(t: Tables):
     path = scratch_path(t.spark, "predictions")
     sinks.write_predictions(t.predictions, path)
@@ -193,7 +193,7 @@ UNION ALL SELECT 'probabilities_in_0_1', bool_and(ChurnProbability BETWEEN 0 AND
 UNION ALL SELECT 'risk_score_in_1_100', bool_and(RiskScore BETWEEN 1 AND 100) FROM predictions
 UNION ALL SELECT 'valid_risk_categories', bool_and(RiskCategory IN ('High Risk', 'Medium Risk', 'Low Risk')) FROM predictions
 UNION ALL SELECT 'revenue_zero_for_non_churners', bool_and(PredictedChurn <> 0 OR RevenueAtRisk = 0) FROM predictions
-UNION ALL SELECT 'rank_in_1_n', min(PriorityRank) >= 1 AND max(PriorityRank) <= count(*) FROM predictions"""))
+UNION ALL SELECT 'rank_in_1_n', min(PriorityRank) >= 1 AND max(PriorityRank) <= count(*) FROM predictions"""), staged=True)
 def _(t: Tables):
     return audit.validate_predictions(t.predictions)
 
@@ -226,7 +226,7 @@ UNION ALL SELECT 'duplicates', 'table', 'duplicate_rows',
 UNION ALL {stats}""", f"d AS ({describe_sql('clean')})")
 
 
-@query("aud_13_overview", _overview_sql())
+@query("aud_13_overview", _overview_sql(), staged=True)
 def _(t: Tables):
     return audit.overview(t.clean, distributions.describe(t.clean, S.NUMERIC))
 

@@ -8,6 +8,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from churnlake.operators import cleaning, encoding, features, scoring, splitting
+from churnlake.session import scratch_path
+from churnlake.sources.sinks import write_table
 from churnlake.sources.tables import customers_from_orders
 from churnlake.spec import TELCO
 
@@ -29,8 +31,8 @@ SCORE_DIGITS = 6
 class Tables:
     """Raw, clean, feature, encoded, split, scored and prediction tables of one folder."""
 
-    def __init__(self, spark: SparkSession, directory: str):
-        self.spark, self.directory = spark, directory
+    def __init__(self, spark: SparkSession, directory: str, staged: bool = False):
+        self.spark, self.directory, self.staged = spark, directory, staged
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -38,7 +40,14 @@ class Tables:
 
     @cached_property
     def clean(self) -> DataFrame:
-        return cleaning.clean(self.raw)
+        """The clean table. Queries that pass over it more than once write it first and read columns of the
+        written table, so that the join and the de-duplication behind it run once."""
+        cleaned = cleaning.clean(self.raw)
+        if not self.staged:
+            return cleaned
+        path = scratch_path(self.spark, "clean")
+        write_table(cleaned, path)
+        return self.spark.read.schema(cleaned.schema).parquet(path)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -97,14 +106,17 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register ``fn(tables) -> DataFrame`` under ``name``, with the SQL it must agree with."""
+def query(name: str, sql: str | None = None, staged: bool = False):
+    """Register ``fn(tables) -> DataFrame`` under ``name``, with the SQL it must agree with.
+
+    ``staged`` is for operators with several passes: they start from a written clean table.
+    """
     def register(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
 
         def run(spark: SparkSession, directory: str) -> DataFrame:
-            return fn(Tables(spark, directory))
+            return fn(Tables(spark, directory, staged))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__

@@ -33,7 +33,7 @@ def describe_sql(table: str) -> str:
             + f" FROM ({_moments_sql(table)})")
 
 
-@query("sta_1_describe", over("clean", f"SELECT * EXCLUDE (skew, kurtosis) FROM ({describe_sql('clean')})"))
+@query("sta_1_describe", over("clean", f"SELECT * EXCLUDE (skew, kurtosis) FROM ({describe_sql('clean')})"), staged=True)
 def _(t: Tables):
     return distributions.describe(t.clean, S.NUMERIC).drop("skew", "kurtosis")
 
@@ -43,7 +43,7 @@ def _(t: Tables):
     + [f"{r(x, 2)} AS {n}" for x, n in (
         ("min(value)", "min"), ("quantile_cont(value, 0.25)", "q1"), ("quantile_cont(value, 0.5)", "median"),
         ("quantile_cont(value, 0.75)", "q3"), ("max(value)", "max"))])
-    + f" FROM ({melt('feat', S.ENGINEERED)}) GROUP BY feature"))
+    + f" FROM ({melt('feat', S.ENGINEERED)}) GROUP BY feature"), staged=True)
 def _(t: Tables):
     return distributions.describe(t.features, S.ENGINEERED, digits=2).drop("skew", "kurtosis")
 
@@ -61,7 +61,7 @@ def _(t: Tables):
 
 @query("sta_4_stats_table", over("clean", "SELECT feature, " + ", ".join(
     [f"{r(m, 2)} AS {m}" for m in ("mean", "median", "std", "min", "max")] + [f"{r(m, 3)} AS {m}" for m in ("skew", "kurtosis")])
-    + f" FROM ({_moments_sql('clean')})"))
+    + f" FROM ({_moments_sql('clean')})"), staged=True)
 def _(t: Tables):
     return distributions.stats_table(t.clean, S.NUMERIC)
 
@@ -76,7 +76,7 @@ hits AS (
 
 @query("sta_5_outliers", over(
     "clean", f"SELECT feature, {r('lower', 4)} AS lower, {r('upper', 4)} AS upper, {big('outliers')} AS outliers FROM hits",
-    _FENCES))
+    _FENCES), staged=True)
 def _(t: Tables):
     found = distributions.outliers(t.clean, S.NUMERIC)
     return found.select("feature", *[(F.rint(F.col(c) * 1e4) / 1e4).alias(c) for c in ("lower", "upper")], "outliers")
@@ -84,7 +84,7 @@ def _(t: Tables):
 
 @query("sta_6_outlier_report", over("clean", "SELECT feature, " + ", ".join(
     f"{r(c, 2)} AS {c}" for c in ("q1", "q3", "iqr", "lower", "upper"))
-    + f", {big('outliers')} AS outliers, {pct('outliers', '(SELECT count(*) FROM clean)')} AS outlier_pct FROM hits", _FENCES))
+    + f", {big('outliers')} AS outliers, {pct('outliers', '(SELECT count(*) FROM clean)')} AS outlier_pct FROM hits", _FENCES), staged=True)
 def _(t: Tables):
     return distributions.outlier_report(t.clean, S.NUMERIC)
 
@@ -125,7 +125,7 @@ def _(t: Tables):
 
 @query("sta_10_importance_preview", over("split", "SELECT feature, abs_correlation FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {r(f'abs({_corr(c, 'Churn')})', 4)} AS abs_correlation FROM split WHERE split = 'train'"
-    for c in ML_FEATURES) + ") ORDER BY abs_correlation DESC NULLS LAST, feature LIMIT 20"))
+    for c in ML_FEATURES) + ") ORDER BY abs_correlation DESC NULLS LAST, feature LIMIT 20"), staged=True)
 def _(t: Tables):
     train = t.split.where(F.col("split") == "train")
     return correlation.importance_preview(train, t.feature_names)
@@ -154,12 +154,12 @@ s AS (SELECT g.*, CAST(k AS INTEGER) AS bin FROM g, range({bins}) t(k))"""
 FROM s LEFT JOIN c ON {on} s.feature = c.feature AND s.bin = c.bin""", ctes)
 
 
-@query("sta_11_histogram", _hist_sql("clean", "clean", S.NUMERIC, 40))
+@query("sta_11_histogram", _hist_sql("clean", "clean", S.NUMERIC, 40), staged=True)
 def _(t: Tables):
     return distributions.histogram(t.clean, S.NUMERIC, 40)
 
 
-@query("sta_12_histogram_by_class", _hist_sql("clean", "clean", S.NUMERIC, 30, "Churn"))
+@query("sta_12_histogram_by_class", _hist_sql("clean", "clean", S.NUMERIC, 30, "Churn"), staged=True)
 def _(t: Tables):
     return distributions.histogram(t.clean, S.NUMERIC, 30, ["Churn"])
 
@@ -184,7 +184,7 @@ kde AS (
 
 
 @query("sta_13_density", over(
-    "clean", "SELECT Churn, feature, point, x, density FROM kde", density_ctes("clean", S.NUMERIC, "Churn", 1000, 0.5, 0.0)))
+    "clean", "SELECT Churn, feature, point, x, density FROM kde", density_ctes("clean", S.NUMERIC, "Churn", 1000, 0.5, 0.0)), staged=True)
 def _(t: Tables):
     return distributions.density(t.clean, S.NUMERIC, ["Churn"])
 
@@ -200,14 +200,14 @@ bx AS (
 @query("sta_14_box_stats", over("clean", f"""SELECT Churn, feature, {r("q1", 4)} AS q1, {r("median", 4)} AS median,
   {r("q3", 4)} AS q3, {r("least(min(value) FILTER (WHERE inside), q1)", 4)} AS whisker_low,
   {r("greatest(max(value) FILTER (WHERE inside), q3)", 4)} AS whisker_high,
-  {big("count(*) FILTER (WHERE NOT inside)")} AS fliers FROM bx GROUP BY Churn, feature, q1, median, q3""", _BOX))
+  {big("count(*) FILTER (WHERE NOT inside)")} AS fliers FROM bx GROUP BY Churn, feature, q1, median, q3""", _BOX), staged=True)
 def _(t: Tables):
     return distributions.box_stats(t.clean, S.NUMERIC, ["Churn"])
 
 
 @query("sta_14_exact_quantiles", over("clean", " UNION ALL ".join(
     f"SELECT Churn, feature, CAST({p} AS DOUBLE) AS prob, {r(f'quantile_cont(value, {p})', 6)} AS quantile "
-    f"FROM bv GROUP BY Churn, feature" for p in (0.01, 0.1, 0.5, 0.9, 0.99)), _BOX))
+    f"FROM bv GROUP BY Churn, feature" for p in (0.01, 0.1, 0.5, 0.9, 0.99)), _BOX), staged=True)
 def _(t: Tables):
     found = exact_quantiles(t.clean, S.NUMERIC, [0.01, 0.1, 0.5, 0.9, 0.99], ["Churn"])
     return found.withColumn("quantile", F.rint(F.col("quantile") * 1e6) / 1e6)
@@ -216,7 +216,7 @@ def _(t: Tables):
 @query("sta_15_violin", over("clean", """SELECT Churn, feature, 'outline' AS part, point, x, density FROM kde
 UNION ALL """ + " UNION ALL ".join(
     f"SELECT Churn, feature, '{q}', 0, {r(q, 6)}, CAST(NULL AS DOUBLE) FROM bq" for q in ("q1", "median", "q3")),
-    density_ctes("clean", S.NUMERIC, "Churn", 100, 0.0, 2.0), _BOX))
+    density_ctes("clean", S.NUMERIC, "Churn", 100, 0.0, 2.0), _BOX), staged=True)
 def _(t: Tables):
     return distributions.violin(t.clean, S.NUMERIC, ["Churn"])
 
@@ -227,7 +227,7 @@ FROM kv JOIN few ON kv.feature = few.feature GROUP BY kv.feature, kv.Churn, valu
 UNION ALL
 SELECT 'density', kde.feature, kde.Churn, x, density FROM kde WHERE feature NOT IN (SELECT feature FROM few)""",
     density_ctes("feat", S.ENGINEERED, "Churn", 1000, 0.5, 0.0),
-    "few AS (SELECT feature FROM kv GROUP BY feature HAVING count(DISTINCT value) <= 6)"))
+    "few AS (SELECT feature FROM kv GROUP BY feature HAVING count(DISTINCT value) <= 6)"), staged=True)
 def _(t: Tables):
     return distributions.feature_profile(t.features, S.ENGINEERED)
 
@@ -235,17 +235,17 @@ def _(t: Tables):
 _P = ["ChurnProbability"]
 
 
-@query("sta_17_probability_histogram", _hist_sql("predictions", "predictions", _P, 50))
+@query("sta_17_probability_histogram", _hist_sql("predictions", "predictions", _P, 50), staged=True)
 def _(t: Tables):
     return distributions.histogram(t.predictions, _P, 50)
 
 
-@query("sta_17_probability_by_actual", _hist_sql("predictions", "predictions", _P, 30, "ActualChurn"))
+@query("sta_17_probability_by_actual", _hist_sql("predictions", "predictions", _P, 30, "ActualChurn"), staged=True)
 def _(t: Tables):
     return distributions.histogram(t.predictions, _P, 30, ["ActualChurn"])
 
 
-@query("sta_17_probability_by_tier", _hist_sql("predictions", "predictions", _P, 20, "RiskCategory"))
+@query("sta_17_probability_by_tier", _hist_sql("predictions", "predictions", _P, 20, "RiskCategory"), staged=True)
 def _(t: Tables):
     return distributions.histogram(t.predictions, _P, 20, ["RiskCategory"])
 
@@ -261,7 +261,7 @@ def _cell(v: str) -> str:
 SELECT RiskCategory, {_cell("x")} AS x_bin, {_cell("y")} AS y_bin, {big("count(*)")} AS n FROM xy GROUP BY ALL""",
     """ends AS (SELECT min(MonthlyCharges) AS x0, max(MonthlyCharges) AS x1, min(ChurnProbability) AS y0,
   max(ChurnProbability) AS y1 FROM predictions),
-xy AS (SELECT RiskCategory, MonthlyCharges AS x, ChurnProbability AS y, ends.* FROM predictions, ends)"""))
+xy AS (SELECT RiskCategory, MonthlyCharges AS x, ChurnProbability AS y, ends.* FROM predictions, ends)"""), staged=True)
 def _(t: Tables):
     return distributions.binned_points(t.predictions, "MonthlyCharges", "ChurnProbability", 50, ["RiskCategory"])
 
