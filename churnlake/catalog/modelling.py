@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from churnlake.catalog.sql import TIER, big, emean, over, pct, r, ratio
 from churnlake.functions.bands import risk_tier
 from churnlake.operators import evaluation, ranking, scaling, scoring, splitting
 from churnlake.session import scratch_path
-from churnlake.sources import tables
+from churnlake.sources import sinks, tables
 from churnlake.training import crossval, models
 
 # ---- splits and scaling ----
@@ -82,22 +84,44 @@ def _(t: Tables):
 
 # ---- fitted models: rows-only, checked by property tests ----
 
-def _prepared(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Scaled and weighted training rows, kept for the iterations of the fit, and the scaled whole table."""
-    split = t.split.persist()
-    parameters = scaling.fit_scaler(_train_of(split))
-    scaled = scaling.apply_scaler(split, parameters)
-    return models.balanced(_train_of(scaled)).persist(), scaled
+FAST_MODELS = ("Logistic Regression", "Decision Tree")
+
+
+class Prepared:
+    """Split table kept for the passes of a fit, its scaler, and the scaled table."""
+
+    def __init__(self, t: Tables):
+        self.names = t.feature_names
+        self.split = t.split.persist()
+        self.train = self.split.where(F.col("split") == "train")
+        self.parameters = scaling.fit_scaler(self.train)
+        self.scaled = scaling.apply_scaler(self.split, self.parameters)
+        self.weighted = models.balanced(self.scaled.where(F.col("split") == "train"))
+
+    def fit(self, name: str):
+        return models.fit(name, self.weighted, self.names)
 
+    def test_metrics(self, fitted: dict) -> DataFrame:
+        test = self.scaled.where(F.col("split") == "test")
+        parts = [models.score(m, test).select(F.lit(n).alias("model"), "Churn", "p") for n, m in fitted.items()]
+        return evaluation.evaluate(reduce(DataFrame.unionByName, parts), by=["model"])
 
-def _train_of(df: DataFrame) -> DataFrame:
-    return df.where(F.col("split") == "train")
+
+def _written(t: Tables, df: DataFrame, name: str) -> DataFrame:
+    """A table that several passes read: write it to the shared folder and read it back."""
+    path = scratch_path(t.spark, name)
+    sinks.write_table(df, path)
+    return tables.read_table(t.spark, path)
+
+
+def _cross_validation(t: Tables, ready: Prepared) -> DataFrame:
+    scores = crossval.fold_scores(ready.train, FAST_MODELS, ready.names)
+    return crossval.cross_validate(_written(t, scores, "fold_scores"))
 
 
 def _fit_and_score(t: Tables, name: str) -> DataFrame:
-    train, everyone = _prepared(t)
-    model = models.fit(name, train, t.feature_names)
-    return models.score(model, everyone).select("customerID", "Churn", "split", "p")
+    ready = Prepared(t)
+    return models.score(ready.fit(name), ready.scaled).select("customerID", "Churn", "split", "p")
 
 
 @query("ml_2_logistic_regression", staged=True)
@@ -120,46 +144,36 @@ def _(t: Tables):
     return _fit_and_score(t, "Gradient Boosting")
 
 
-FAST_MODELS = ("Logistic Regression", "Decision Tree")
-
-
 @query("ml_6_cross_validation", staged=True)
 def _(t: Tables):
-    train = _train(t).persist()
-    scored = crossval.fold_scores(train, FAST_MODELS, t.feature_names)
-    return crossval.cross_validate(scored)
+    return _cross_validation(t, Prepared(t))
 
 
 @query("ml_7_final_fit", staged=True)
 def _(t: Tables):
-    train, everyone = _prepared(t)
-    parts = []
-    for name in FAST_MODELS:
-        model = models.fit(name, train, t.feature_names)
-        scored = models.score(model, everyone.where(F.col("split") == "test"))
-        parts.append(scored.select(F.lit(name).alias("model"), "Churn", "p"))
-    return evaluation.evaluate(parts[0].unionByName(parts[1]), by=["model"])
+    ready = Prepared(t)
+    return ready.test_metrics({n: ready.fit(n) for n in FAST_MODELS})
 
 
 @query("ml_8_feature_importances", staged=True)
 def _(t: Tables):
-    train, _ = _prepared(t)
-    return models.feature_importances(t.spark, models.fit("Decision Tree", train, t.feature_names), t.feature_names)
+    ready = Prepared(t)
+    return models.feature_importances(t.spark, ready.fit("Decision Tree"), ready.names)
 
 
 @query("ml_9_tree_rules", staged=True)
 def _(t: Tables):
-    train, _ = _prepared(t)
-    return models.tree_rules(t.spark, models.fit("Decision Tree", train, t.feature_names), t.feature_names)
+    ready = Prepared(t)
+    return models.tree_rules(t.spark, ready.fit("Decision Tree"), ready.names)
 
 
 @query("ml_10_reload_parity", staged=True)
 def _(t: Tables):
-    train, everyone = _prepared(t)
-    model = models.fit("Decision Tree", train, t.feature_names)
+    ready = Prepared(t)
+    model = ready.fit("Decision Tree")
     path = scratch_path(t.spark, "model")
     models.save(model, path)
-    return models.reload_difference(models.score(model, everyone), models.score(models.load(path), everyone))
+    return models.reload_difference(models.score(model, ready.scaled), models.score(models.load(path), ready.scaled))
 
 
 @query("ml_11_fixed_scorer", over("scored", "SELECT customerID, Churn, p FROM scored"))
@@ -170,39 +184,30 @@ def _(t: Tables):
 @query("src_4_artefacts", staged=True)
 def _(t: Tables):
     """Model and scaler are written, loaded again and applied to all customers."""
-    split = t.split.persist()
-    parameters = scaling.fit_scaler(_train_of(split))
-    model = models.fit("Logistic Regression", models.balanced(scaling.apply_scaler(_train_of(split), parameters)), t.feature_names)
+    ready = Prepared(t)
     path = scratch_path(t.spark, "artefacts")
-    models.save(model, f"{path}/model")
-    parameters.write.parquet(f"{path}/scaler")
+    models.save(ready.fit("Logistic Regression"), f"{path}/model")
+    sinks.write_table(ready.parameters, f"{path}/scaler")
     loaded = tables.read_table(t.spark, f"{path}/scaler")
-    return models.score(models.load(f"{path}/model"), scaling.apply_scaler(split, loaded)).select("customerID", "p")
+    return models.score(models.load(f"{path}/model"), scaling.apply_scaler(ready.split, loaded)).select("customerID", "p")
 
 
 @query("snk_5_models_and_report", staged=True)
 def _(t: Tables):
-    train, everyone = _prepared(t)
+    ready = Prepared(t)
     path = scratch_path(t.spark, "models")
-    test_rows, cv_rows = [], crossval.cross_validate(crossval.fold_scores(_train(t).persist(), FAST_MODELS, t.feature_names))
-    for name in FAST_MODELS:
-        model = models.fit(name, train, t.feature_names)
+    fitted = {n: ready.fit(n) for n in FAST_MODELS}
+    for name, model in fitted.items():
         models.save(model, f"{path}/{name.lower().replace(' ', '_')}")
-        scored = models.score(model, everyone.where(F.col("split") == "test"))
-        test_rows.append(scored.select(F.lit(name).alias("model"), "Churn", "p"))
-    test = evaluation.evaluate(test_rows[0].unionByName(test_rows[1]), by=["model"])
-    evaluation.comparison_report(test, cv_rows).write.parquet(f"{path}/comparison")
+    sinks.write_table(evaluation.selection_score(ready.test_metrics(fitted)), f"{path}/comparison")
     return tables.read_table(t.spark, f"{path}/comparison")
 
 
 @query("evl_8_comparison_report", staged=True)
 def _(t: Tables):
-    train, everyone = _prepared(t)
-    cv = crossval.cross_validate(crossval.fold_scores(_train(t).persist(), FAST_MODELS, t.feature_names))
-    parts = [
-        models.score(models.fit(n, train, t.feature_names), everyone.where(F.col("split") == "test"))
-        .select(F.lit(n).alias("model"), "Churn", "p") for n in FAST_MODELS]
-    return evaluation.comparison_report(evaluation.evaluate(parts[0].unionByName(parts[1]), by=["model"]), cv)
+    ready = Prepared(t)
+    test = ready.test_metrics({n: ready.fit(n) for n in FAST_MODELS})
+    return evaluation.comparison_report(test, _cross_validation(t, ready))
 
 
 # ---- evaluation over scorers with given coefficients ----
@@ -314,9 +319,8 @@ def _(t: Tables):
 @query("prd_1_fitted_probability", staged=True)
 def _(t: Tables):
     """Every customer scored by a model fitted on the training rows, as the full prediction table."""
-    train, everyone = _prepared(t)
-    model = models.fit("Logistic Regression", train, t.feature_names)
-    scored = models.score(model, everyone).select("customerID", "p")
+    ready = Prepared(t)
+    scored = models.score(ready.fit("Logistic Regression"), ready.scaled).select("customerID", "p")
     return scoring.build_predictions(t.clean.join(scored, "customerID"))
 
 

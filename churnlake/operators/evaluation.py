@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from churnlake import spec as S
 from churnlake.functions.numbers import percent, ratio_or_zero, round_even
-from churnlake.operators.ranking import cumulative_counts
+from churnlake.operators.ranking import cumulative_counts, score_counts
 
 WEIGHTS = {"roc_auc": 0.40, "recall": 0.40, "f1": 0.20}
 
@@ -68,8 +68,15 @@ def roc_auc(
 def evaluate(
     df: DataFrame, score: str = "p", label: str = "Churn", threshold: float = S.THRESHOLD, by: Sequence[str] = (),
 ) -> DataFrame:
-    """Threshold metrics and AUC side by side, one row per group."""
-    metrics, area = threshold_metrics(df, score, label, threshold, by), roc_auc(df, score, label, by)
+    """Threshold metrics and AUC side by side, one row per group.
+
+    Both come from the counts per distinct score, whose exchange Spark builds once and uses twice.
+    """
+    said = F.col("score") >= F.lit(threshold)
+    cells = score_counts(df, score, label, by).groupBy(*by).agg(*[
+        F.coalesce(F.sum(F.when(where, F.col(n))), F.lit(0)).alias(cell)
+        for cell, n, where in (("tp", "pos", said), ("fp", "neg", said), ("fn", "pos", ~said), ("tn", "neg", ~said))])
+    metrics, area = rates(cells, by), roc_auc(df, score, label, by)
     if not by:
         return metrics.withColumn("roc_auc", area.scalar())
     return metrics.join(F.broadcast(area), list(by))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlake.functions.text import quoted
+
 
 def key_hash(key: str, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
@@ -33,26 +35,25 @@ def test_quota(class_counts: DataFrame, test_size: float) -> DataFrame:
         "cls", "n", (F.col("floor") + F.when(place <= missing, 1).otherwise(0)).cast("bigint").alias("n_test"))
 
 
-def _cut_hashes(hashed: DataFrame, wanted: DataFrame, digits: int) -> DataFrame:
-    """(cls, cut, hash): the hash at rank ``rank`` of its class, for every row (cls, cut, rank) of ``wanted``."""
-    bucket = F.substring("h", 1, digits)
-    sizes = hashed.groupBy("cls", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+def _cut_hashes(hashed: DataFrame, sizes: DataFrame, wanted: DataFrame, digits: int) -> DataFrame:
+    """(cls, cut, hash): the hash at rank ``rank`` of its class, for every row (cls, cut, rank) of ``wanted``.
+
+    ``sizes`` has the row count ``n`` per class and hash bucket.
+    """
     order = Window.partitionBy("cls").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     reached = sizes.withColumn("upto", F.sum("n").over(order)).withColumn("before", F.col("upto") - F.col("n"))
     w = wanted.withColumnRenamed("cls", "w_cls")
-    holds = F.col("cls").eqNullSafe(F.col("w_cls")) & (F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("upto"))
-    where = reached.join(F.broadcast(w), holds).select(
-        "w_cls", "cut", F.col("bucket").alias("w_bucket"), (F.col("rank") - F.col("before")).alias("need"))
+    where = reached.join(
+        F.broadcast(w), F.expr("cls <=> w_cls AND before < rank AND rank <= upto")
+    ).selectExpr("w_cls", "cut", "bucket AS w_bucket", "rank - before AS need")
     inside = (
-        hashed.join(
-            F.broadcast(where),
-            F.col("cls").eqNullSafe(F.col("w_cls")) & (bucket == F.col("w_bucket")))
+        hashed.join(F.broadcast(where), F.expr(f"cls <=> w_cls AND substring(h, 1, {digits}) = w_bucket"))
         .groupBy("cls", "cut", "need", "h").agg(F.count(F.lit(1)).alias("copies"))
     )
     running = Window.partitionBy("cls", "cut").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
     return (
         inside.withColumn("reached", F.sum("copies").over(running))
-        .where(F.col("reached") >= F.col("need"))
+        .where("reached >= need")
         .groupBy("cls", "cut").agg(F.min("h").alias("hash"))
     )
 
@@ -70,28 +71,23 @@ def split_and_fold(
     if target not in df.columns:
         raise ValueError(f"target column {target!r} not found")
     hashed = df.select(F.col(target).alias("cls"), key_hash(key, seed).alias("h"))
-    class_counts = hashed.groupBy("cls").agg(F.count(F.lit(1)).alias("n"))
-    quota = test_quota(class_counts, test_size)
-    n_train = F.col("n") - F.col("n_test")
-    fold_end = F.col("n_test") + F.col("cut") * F.floor(n_train / folds) + F.least(F.col("cut"), n_train % folds)
-    wanted = quota.select("cls", "n_test", "n", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("cut")).select(
-        "cls", "cut", F.when(F.col("cut") == 0, F.col("n_test")).otherwise(fold_end).cast("bigint").alias("rank"))
-    cuts = _cut_hashes(hashed, wanted.where(F.col("rank") > 0), digits)
+    sizes = hashed.groupBy("cls", F.expr(f"substring(h, 1, {digits})").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    quota = test_quota(sizes.groupBy("cls").agg(F.sum("n").alias("n")), test_size)
+    rank = (f"CASE WHEN cut = 0 THEN n_test ELSE n_test + cut * ((n - n_test) div {folds})"
+            f" + least(cut, (n - n_test) % {folds}) END")
+    wanted = quota.selectExpr("cls", "n", "n_test", f"explode(sequence(0, {folds - 1})) AS cut").selectExpr(
+        "cls", "cut", f"CAST({rank} AS BIGINT) AS rank").where("rank > 0")
+    cuts = _cut_hashes(hashed, sizes, wanted, digits)
     per_class = cuts.groupBy(F.col("cls").alias("_cls")).agg(
-        *[F.max(F.when(F.col("cut") == i, F.col("hash"))).alias(f"_cut{i}") for i in range(folds)])
+        *[F.expr(f"max(CASE WHEN cut = {i} THEN hash END)").alias(f"_cut{i}") for i in range(folds)])
     joined = df.withColumn("_h", key_hash(key, seed)).join(
         F.broadcast(per_class), F.col(target).eqNullSafe(F.col("_cls")), "left")
-
-    def beyond(i):
-        return F.coalesce(F.col("_h") > F.col(f"_cut{i}"), F.lit(True))
-
-    fold = F.lit(0)
-    for i in range(1, folds):
-        fold = fold + F.when(beyond(i), 1).otherwise(0)
-    return joined.withColumns({
-        "split": F.when(beyond(0), "train").otherwise("test"),
-        "fold": F.when(beyond(0), fold),
-    }).drop("_h", "_cls", *[f"_cut{i}" for i in range(folds)])
+    beyond = [f"coalesce(_h > _cut{i}, true)" for i in range(folds)]
+    fold = " + ".join(["0"] + [f"CASE WHEN {b} THEN 1 ELSE 0 END" for b in beyond[1:]])
+    return joined.selectExpr(
+        *[quoted(c) for c in df.columns],
+        f"CASE WHEN {beyond[0]} THEN 'train' ELSE 'test' END AS split",
+        f"CASE WHEN {beyond[0]} THEN {fold} END AS fold")
 
 
 def split_report(df: DataFrame, target: str = "Churn") -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,23 +18,25 @@ from churnlake.training import models
 
 def fold_scores(
     train: DataFrame, names: Sequence[str], features: Sequence[str], label: str = "Churn", folds: int = 5,
-    overrides: Mapping[str, Mapping] | None = None, key: str = "customerID",
+    overrides: Mapping[str, Mapping] | None = None, key: str = "customerID", parallelism: int = 4,
 ) -> DataFrame:
     """(model, fold, key, label, p) for every training row, scored by a model that did not see it.
 
-    The scaler and the class weights are fitted inside the fold. ``train`` has unscaled features and ``fold``.
+    The scaler and the class weights are fitted inside the fold. ``train`` has unscaled features and ``fold``;
+    persist it before. As in Spark's own cross-validator, ``parallelism`` fits are submitted at a time.
     """
-    parts = []
-    for k in range(folds):
+    def run(task):
+        k, name = task
         seen, held = train.where(F.col("fold") != k), train.where(F.col("fold") == k)
         parameters = fit_scaler(seen)
-        seen = models.balanced(apply_scaler(seen, parameters), label).persist()
-        held = apply_scaler(held, parameters)
-        for name in names:
-            model = models.fit(name, seen, features, label, **(overrides or {}).get(name, {}))
-            parts.append(models.score(model, held).select(
-                F.lit(name).alias("model"), "fold", key, label, models.PROBABILITY))
-        seen.unpersist()
+        weighted = models.balanced(apply_scaler(seen, parameters), label)
+        model = models.fit(name, weighted, features, label, **(overrides or {}).get(name, {}))
+        scored = models.score(model, apply_scaler(held, parameters))
+        return scored.select(F.lit(name).alias("model"), "fold", key, label, models.PROBABILITY)
+
+    tasks = [(k, name) for name in names for k in range(folds)]
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        parts = pool.map(inheritable_thread_target(run), tasks)
     return reduce(DataFrame.unionByName, parts)
 
 
