@@ -12,6 +12,7 @@ from churnlake.catalog.relations import Tables, query
 from churnlake.catalog.sql import TIER, big, emean, over, pct, r, ratio
 from churnlake.functions.bands import risk_tier
 from churnlake.operators import evaluation, ranking, scaling, scoring, splitting
+from churnlake.plans.scoring import Artefacts, score_customers
 from churnlake.session import scratch_path
 from churnlake.sources import sinks, tables
 from churnlake.training import crossval, models
@@ -320,8 +321,8 @@ def _(t: Tables):
 def _(t: Tables):
     """Every customer scored by a model fitted on the training rows, as the full prediction table."""
     ready = Prepared(t)
-    scored = models.score(ready.fit("Logistic Regression"), ready.scaled).select("customerID", "p")
-    return scoring.build_predictions(t.clean.join(scored, "customerID"))
+    artefacts = Artefacts(ready.fit("Logistic Regression"), "Logistic Regression", ready.names, ready.parameters)
+    return scoring.build_predictions(score_customers(t.clean, artefacts))
 
 
 def _prediction(name: str, columns: list[str], extra_sql: str = ""):
