@@ -1,40 +1,69 @@
-"""Pearson correlations, all pairs of a table in one aggregate."""
+"""Pearson correlations, all pairs of a table in one aggregate.
+
+Spark's ``corr`` fails on a constant column under ANSI rules; here such a column has a null correlation.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.functions.numbers import round_even
+from churnlake.functions.numbers import pearson, round_even
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """(a, b, r) for every ordered pair, the diagonal included.
+    """(a, b, r) for every ordered pair, the diagonal included; a pair uses the rows where both are present.
 
-    Each pair uses the rows where both values are present. A constant column has no correlation: null.
+    A first pass brings one row to the driver: size, and per column its count, mean and range. The second sums
+    products of the centred values, which needs one number per pair instead of a moment buffer per pair.
     """
-    pairs = list(combinations(range(len(columns)), 2))
+    size = range(len(columns))
     numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    one = numbers.agg(
-        *[F.corr(f"c{i}", f"c{j}").alias(f"r_{i}_{j}") for i, j in pairs],
-        *[F.when(F.stddev_samp(f"c{i}") > 0, F.lit(1.0)).alias(f"r_{i}_{i}") for i in range(len(columns))],
-    )
-    entries = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            cell = f"r_{min(i, j)}_{max(i, j)}"
-            entries.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(cell).alias("r")))
+    facts = numbers.agg(F.count(F.lit(1)).alias("n"), *[
+        f(f"c{i}").alias(f"{name}{i}") for i in size
+        for name, f in (("k", F.count), ("avg", F.avg), ("low", F.min), ("high", F.max))]).first()
+    n = facts["n"]
+    full = [facts[f"k{i}"] == n for i in size]
+    centre = [
+        (facts[f"low{i}"] if facts[f"low{i}"] == facts[f"high{i}"] else facts[f"avg{i}"]) or 0.0 for i in size]
+    z = numbers.select(*[(F.col(f"c{i}") - F.lit(centre[i])).alias(f"z{i}") for i in size])
+
+    sums = [F.sum(f"z{i}").alias(f"s{i}") for i in size if full[i]]
+    sums += [F.sum(F.col(f"z{i}") * F.col(f"z{i}")).alias(f"p{i}_{i}") for i in size if full[i]]
+    sums += [(F.count_if(F.col(f"z{i}") != F.lit(0.0)) > 0).alias(f"v{i}") for i in size if not full[i]]
+    for i, j in combinations(size, 2):
+        if full[i] and full[j]:
+            sums.append(F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"p{i}_{j}"))
+        else:
+            sums.append(pearson(F.col(f"z{i}"), F.col(f"z{j}")).alias(f"r{i}_{j}"))
+    one = z.agg(*sums)
+
+    def spread(i: int, j: int) -> Column:
+        """Centred sum of products of two complete columns."""
+        return F.col(f"p{i}_{j}") - F.try_divide(F.col(f"s{i}") * F.col(f"s{j}"), F.lit(float(n)))
+
+    def cell(i: int, j: int) -> Column:
+        i, j = min(i, j), max(i, j)
+        if i == j:
+            varies = spread(i, i) > 0 if full[i] else F.col(f"v{i}")
+            return F.when(varies, F.lit(1.0))
+        if full[i] and full[j]:
+            return F.try_divide(spread(i, j), F.sqrt(F.greatest(spread(i, i), F.lit(0.0)) * F.greatest(spread(j, j), F.lit(0.0))))
+        return F.col(f"r{i}_{j}")
+
+    entries = [
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), cell(i, j).alias("r"))
+        for i, a in enumerate(columns) for j, b in enumerate(columns)]
     return one.select(F.inline(F.array(*entries))).select("a", "b", round_even(F.col("r"), digits).alias("r"))
 
 
 def target_correlation(df: DataFrame, columns: Sequence[str], target: str = "Churn", digits: int = 6) -> DataFrame:
     """Signed correlation of each column with the target, ascending."""
-    numeric = [F.col(f"`{c}`").cast("double") for c in columns]
     label = F.col(target).cast("double")
-    one = df.agg(*[F.corr(v, label).alias(f"r{i}") for i, v in enumerate(numeric)])
+    one = df.agg(*[pearson(F.col(f"`{c}`").cast("double"), label).alias(f"r{i}") for i, c in enumerate(columns)])
     rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("r")) for i, c in enumerate(columns)])
     return one.select(F.inline(rows)).select("feature", round_even(F.col("r"), digits).alias("r")).orderBy("r", "feature")
 
