@@ -93,7 +93,7 @@ def _(t: Tables):
 
 def _insights_sql() -> str:
     extra = ", ".join(
-        f"{r(_rate(f'{c} = {chr(39)}{v}{chr(39)}'), 4)} AS {n}" for n, (c, v) in insights._EXTRA_RATES.items())
+        f"{r(_rate(f'{c} = {chr(39)}{v}{chr(39)}'), 4)} AS {n}" for n, (c, v) in insights.EXTRA_RATES.items())
     gaps = {
         "contract_gap": "mtm_churn - twoyear_churn", "fiber_gap": "fiber_churn - dsl_churn",
         "security_gap": "no_security_churn - has_security_churn", "gender_gap": "male_churn - female_churn",

@@ -44,10 +44,3 @@ def adjusted_kurtosis(value: Column) -> Column:
     n = F.count(value).cast("double")
     factor = F.try_divide(n - 1, (n - 2) * (n - 3))
     return F.when(n > 3, factor * ((n + 1) * F.kurtosis(value) + F.lit(6.0)))
-
-
-def pearson(a: Column, b: Column) -> Column:
-    """Correlation over the rows where both values are present; null when either does not vary there."""
-    both = a.isNotNull() & b.isNotNull()
-    spread = F.sqrt(F.var_pop(F.when(both, a)) * F.var_pop(F.when(both, b)))
-    return F.try_divide(F.covar_pop(a, b), spread)

@@ -8,10 +8,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.functions.numbers import pearson, round_even
+from churnlake.functions.numbers import round_even
+from churnlake.functions.text import literal, quoted, rounded
+
+
+def pearson(a: str, b: str) -> str:
+    """Correlation over the rows where both values are present; null when either does not vary there."""
+    def variance(x: str) -> str:
+        return f"var_pop(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN {x} END)"
+
+    return f"try_divide(covar_pop({a}, {b}), sqrt({variance(a)} * {variance(b)}))"
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
@@ -21,51 +30,47 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str], digits: int = 6) ->
     products of the centred values, which needs one number per pair instead of a moment buffer per pair.
     """
     size = range(len(columns))
-    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    facts = numbers.agg(F.count(F.lit(1)).alias("n"), *[
-        f(f"c{i}").alias(f"{name}{i}") for i in size
-        for name, f in (("k", F.count), ("avg", F.avg), ("low", F.min), ("high", F.max))]).first()
+    numbers = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(columns)])
+    facts = numbers.selectExpr("count(1) AS n", *[
+        f"{name}(c{i}) AS {name}{i}" for i in size for name in ("count", "avg", "min", "max")]).first()
     n = facts["n"]
-    full = [facts[f"k{i}"] == n for i in size]
-    centre = [
-        (facts[f"low{i}"] if facts[f"low{i}"] == facts[f"high{i}"] else facts[f"avg{i}"]) or 0.0 for i in size]
-    z = numbers.select(*[(F.col(f"c{i}") - F.lit(centre[i])).alias(f"z{i}") for i in size])
-
-    sums = [F.sum(f"z{i}").alias(f"s{i}") for i in size if full[i]]
-    sums += [F.sum(F.col(f"z{i}") * F.col(f"z{i}")).alias(f"p{i}_{i}") for i in size if full[i]]
-    sums += [(F.count_if(F.col(f"z{i}") != F.lit(0.0)) > 0).alias(f"v{i}") for i in size if not full[i]]
+    full = [facts[f"count{i}"] == n for i in size]
+    centre = [(facts[f"min{i}"] if facts[f"min{i}"] == facts[f"max{i}"] else facts[f"avg{i}"]) or 0.0 for i in size]
+    z = numbers.selectExpr(*[f"c{i} - {literal(float(centre[i]))} AS z{i}" for i in size])
+
+    sums = []
+    for i in size:
+        sums += [f"sum(z{i}) AS s{i}", f"sum(z{i} * z{i}) AS p{i}_{i}"] if full[i] else [f"var_pop(z{i}) AS v{i}"]
     for i, j in combinations(size, 2):
-        if full[i] and full[j]:
-            sums.append(F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"p{i}_{j}"))
-        else:
-            sums.append(pearson(F.col(f"z{i}"), F.col(f"z{j}")).alias(f"r{i}_{j}"))
-    one = z.agg(*sums)
+        sums.append(f"sum(z{i} * z{j}) AS p{i}_{j}" if full[i] and full[j] else f"{pearson(f'z{i}', f'z{j}')} AS r{i}_{j}")
+    one = z.selectExpr(*sums)
 
-    def spread(i: int, j: int) -> Column:
+    def spread(i: int, j: int) -> str:
         """Centred sum of products of two complete columns."""
-        return F.col(f"p{i}_{j}") - F.try_divide(F.col(f"s{i}") * F.col(f"s{j}"), F.lit(float(n)))
+        return f"(p{i}_{j} - try_divide(s{i} * s{j}, {literal(float(n))}))"
 
-    def cell(i: int, j: int) -> Column:
+    def cell(i: int, j: int) -> str:
         i, j = min(i, j), max(i, j)
         if i == j:
-            varies = spread(i, i) > 0 if full[i] else F.col(f"v{i}")
-            return F.when(varies, F.lit(1.0))
+            return f"CASE WHEN {spread(i, i) if full[i] else f'v{i}'} > 0 THEN 1.0D END"
         if full[i] and full[j]:
-            return F.try_divide(spread(i, j), F.sqrt(F.greatest(spread(i, i), F.lit(0.0)) * F.greatest(spread(j, j), F.lit(0.0))))
-        return F.col(f"r{i}_{j}")
+            return f"try_divide({spread(i, j)}, sqrt(greatest({spread(i, i)}, 0.0D) * greatest({spread(j, j)}, 0.0D)))"
+        return f"r{i}_{j}"
 
-    entries = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), cell(i, j).alias("r"))
-        for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    return one.select(F.inline(F.array(*entries))).select("a", "b", round_even(F.col("r"), digits).alias("r"))
+    entries = ", ".join(
+        f"named_struct('a', {literal(a)}, 'b', {literal(b)}, 'r', {rounded(cell(i, j), digits)})"
+        for i, a in enumerate(columns) for j, b in enumerate(columns))
+    return one.selectExpr(f"inline(array({entries}))")
 
 
 def target_correlation(df: DataFrame, columns: Sequence[str], target: str = "Churn", digits: int = 6) -> DataFrame:
     """Signed correlation of each column with the target, ascending."""
-    label = F.col(target).cast("double")
-    one = df.agg(*[pearson(F.col(f"`{c}`").cast("double"), label).alias(f"r{i}") for i, c in enumerate(columns)])
-    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("r")) for i, c in enumerate(columns)])
-    return one.select(F.inline(rows)).select("feature", round_even(F.col("r"), digits).alias("r")).orderBy("r", "feature")
+    numbers = df.selectExpr(
+        f"CAST({quoted(target)} AS DOUBLE) AS label", *[f"CAST({quoted(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(columns)])
+    one = numbers.selectExpr(*[f"{pearson(f'c{i}', 'label')} AS r{i}" for i in range(len(columns))])
+    entries = ", ".join(
+        f"named_struct('feature', {literal(c)}, 'r', {rounded(f'r{i}', digits)})" for i, c in enumerate(columns))
+    return one.selectExpr(f"inline(array({entries}))").orderBy("r", "feature")
 
 
 def importance_preview(df: DataFrame, columns: Sequence[str], target: str = "Churn", top: int = 20) -> DataFrame:
