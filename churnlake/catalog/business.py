@@ -59,7 +59,7 @@ def _(t: Tables):
 
 @query("seg_5_above_average", over("clean", f"""SELECT feature, value, ChurnRate, overall.x AS OverallRate,
   ChurnRate > overall.x AS AboveAverage FROM ({_report_sql(S.FOCUS_SEGMENTS)}),
-  (SELECT {pct("sum(Churn)", "count(Churn)")} AS x FROM clean) overall"""), staged=True)
+  (SELECT {pct("sum(Churn)", "count(Churn)")} AS x FROM clean) overall"""), staged=(*S.FOCUS_SEGMENTS, "Churn"))
 def _(t: Tables):
     return segments.flag_above_average(t.clean)
 

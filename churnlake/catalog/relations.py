@@ -31,7 +31,7 @@ SCORE_DIGITS = 6
 class Tables:
     """Raw, clean, feature, encoded, split, scored and prediction tables of one folder."""
 
-    def __init__(self, spark: SparkSession, directory: str, staged: bool = False):
+    def __init__(self, spark: SparkSession, directory: str, staged: bool | tuple[str, ...] = False):
         self.spark, self.directory, self.staged = spark, directory, staged
 
     @cached_property
@@ -40,11 +40,13 @@ class Tables:
 
     @cached_property
     def clean(self) -> DataFrame:
-        """The clean table. Queries that pass over it more than once write it first and read columns of the
-        written table, so that the join and the de-duplication behind it run once."""
+        """The clean table. Queries that pass over it more than once write what they need of it first and read
+        that, so that the join and the de-duplication behind it run once."""
         cleaned = cleaning.clean(self.raw)
         if not self.staged:
             return cleaned
+        if self.staged is not True:
+            cleaned = cleaned.select(*self.staged)
         path = scratch_path(self.spark, "clean")
         write_table(cleaned, path)
         return self.spark.read.schema(cleaned.schema).parquet(path)
@@ -106,10 +108,11 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None, staged: bool = False):
+def query(name: str, sql: str | None = None, staged: bool | tuple[str, ...] = False):
     """Register ``fn(tables) -> DataFrame`` under ``name``, with the SQL it must agree with.
 
-    ``staged`` is for operators with several passes: they start from a written clean table.
+    ``staged`` is for operators with several passes: they start from a written clean table, or from the named
+    columns of it.
     """
     def register(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:

@@ -12,6 +12,8 @@ from churnlake.catalog.sql import ML_FEATURES, big, emean, melt, over, pct, r
 from churnlake.operators import correlation, distributions
 from churnlake.operators.quantiles import exact_quantiles
 
+# Columns the numeric reports read.
+NUMBERS = (*S.NUMERIC, "Churn")
 DESCRIBE_METRICS = ["mean", "std", "min", "q1", "median", "q3", "max", "skew", "kurtosis"]
 
 
@@ -33,7 +35,7 @@ def describe_sql(table: str) -> str:
             + f" FROM ({_moments_sql(table)})")
 
 
-@query("sta_1_describe", over("clean", f"SELECT * EXCLUDE (skew, kurtosis) FROM ({describe_sql('clean')})"), staged=True)
+@query("sta_1_describe", over("clean", f"SELECT * EXCLUDE (skew, kurtosis) FROM ({describe_sql('clean')})"), staged=NUMBERS)
 def _(t: Tables):
     return distributions.describe(t.clean, S.NUMERIC).drop("skew", "kurtosis")
 
@@ -61,7 +63,7 @@ def _(t: Tables):
 
 @query("sta_4_stats_table", over("clean", "SELECT feature, " + ", ".join(
     [f"{r(m, 2)} AS {m}" for m in ("mean", "median", "std", "min", "max")] + [f"{r(m, 3)} AS {m}" for m in ("skew", "kurtosis")])
-    + f" FROM ({_moments_sql('clean')})"), staged=True)
+    + f" FROM ({_moments_sql('clean')})"), staged=NUMBERS)
 def _(t: Tables):
     return distributions.stats_table(t.clean, S.NUMERIC)
 
@@ -76,7 +78,7 @@ hits AS (
 
 @query("sta_5_outliers", over(
     "clean", f"SELECT feature, {r('lower', 4)} AS lower, {r('upper', 4)} AS upper, {big('outliers')} AS outliers FROM hits",
-    _FENCES), staged=True)
+    _FENCES), staged=NUMBERS)
 def _(t: Tables):
     found = distributions.outliers(t.clean, S.NUMERIC)
     return found.select("feature", *[(F.rint(F.col(c) * 1e4) / 1e4).alias(c) for c in ("lower", "upper")], "outliers")
@@ -84,7 +86,7 @@ def _(t: Tables):
 
 @query("sta_6_outlier_report", over("clean", "SELECT feature, " + ", ".join(
     f"{r(c, 2)} AS {c}" for c in ("q1", "q3", "iqr", "lower", "upper"))
-    + f", {big('outliers')} AS outliers, {pct('outliers', '(SELECT count(*) FROM clean)')} AS outlier_pct FROM hits", _FENCES), staged=True)
+    + f", {big('outliers')} AS outliers, {pct('outliers', '(SELECT count(*) FROM clean)')} AS outlier_pct FROM hits", _FENCES), staged=NUMBERS)
 def _(t: Tables):
     return distributions.outlier_report(t.clean, S.NUMERIC)
 
@@ -154,12 +156,12 @@ s AS (SELECT g.*, CAST(k AS INTEGER) AS bin FROM g, range({bins}) t(k))"""
 FROM s LEFT JOIN c ON {on} s.feature = c.feature AND s.bin = c.bin""", ctes)
 
 
-@query("sta_11_histogram", _hist_sql("clean", "clean", S.NUMERIC, 40), staged=True)
+@query("sta_11_histogram", _hist_sql("clean", "clean", S.NUMERIC, 40), staged=NUMBERS)
 def _(t: Tables):
     return distributions.histogram(t.clean, S.NUMERIC, 40)
 
 
-@query("sta_12_histogram_by_class", _hist_sql("clean", "clean", S.NUMERIC, 30, "Churn"), staged=True)
+@query("sta_12_histogram_by_class", _hist_sql("clean", "clean", S.NUMERIC, 30, "Churn"), staged=NUMBERS)
 def _(t: Tables):
     return distributions.histogram(t.clean, S.NUMERIC, 30, ["Churn"])
 
@@ -184,7 +186,7 @@ kde AS (
 
 
 @query("sta_13_density", over(
-    "clean", "SELECT Churn, feature, point, x, density FROM kde", density_ctes("clean", S.NUMERIC, "Churn", 1000, 0.5, 0.0)), staged=True)
+    "clean", "SELECT Churn, feature, point, x, density FROM kde", density_ctes("clean", S.NUMERIC, "Churn", 1000, 0.5, 0.0)), staged=NUMBERS)
 def _(t: Tables):
     return distributions.density(t.clean, S.NUMERIC, ["Churn"])
 
@@ -200,14 +202,14 @@ bx AS (
 @query("sta_14_box_stats", over("clean", f"""SELECT Churn, feature, {r("q1", 4)} AS q1, {r("median", 4)} AS median,
   {r("q3", 4)} AS q3, {r("least(min(value) FILTER (WHERE inside), q1)", 4)} AS whisker_low,
   {r("greatest(max(value) FILTER (WHERE inside), q3)", 4)} AS whisker_high,
-  {big("count(*) FILTER (WHERE NOT inside)")} AS fliers FROM bx GROUP BY Churn, feature, q1, median, q3""", _BOX), staged=True)
+  {big("count(*) FILTER (WHERE NOT inside)")} AS fliers FROM bx GROUP BY Churn, feature, q1, median, q3""", _BOX), staged=NUMBERS)
 def _(t: Tables):
     return distributions.box_stats(t.clean, S.NUMERIC, ["Churn"])
 
 
 @query("sta_14_exact_quantiles", over("clean", " UNION ALL ".join(
     f"SELECT Churn, feature, CAST({p} AS DOUBLE) AS prob, {r(f'quantile_cont(value, {p})', 6)} AS quantile "
-    f"FROM bv GROUP BY Churn, feature" for p in (0.01, 0.1, 0.5, 0.9, 0.99)), _BOX), staged=True)
+    f"FROM bv GROUP BY Churn, feature" for p in (0.01, 0.1, 0.5, 0.9, 0.99)), _BOX), staged=NUMBERS)
 def _(t: Tables):
     found = exact_quantiles(t.clean, S.NUMERIC, [0.01, 0.1, 0.5, 0.9, 0.99], ["Churn"])
     return found.withColumn("quantile", F.rint(F.col("quantile") * 1e6) / 1e6)
@@ -216,7 +218,7 @@ def _(t: Tables):
 @query("sta_15_violin", over("clean", """SELECT Churn, feature, 'outline' AS part, point, x, density FROM kde
 UNION ALL """ + " UNION ALL ".join(
     f"SELECT Churn, feature, '{q}', 0, {r(q, 6)}, CAST(NULL AS DOUBLE) FROM bq" for q in ("q1", "median", "q3")),
-    density_ctes("clean", S.NUMERIC, "Churn", 100, 0.0, 2.0), _BOX), staged=True)
+    density_ctes("clean", S.NUMERIC, "Churn", 100, 0.0, 2.0), _BOX), staged=NUMBERS)
 def _(t: Tables):
     return distributions.violin(t.clean, S.NUMERIC, ["Churn"])
 

@@ -14,6 +14,8 @@ from churnlake.functions.numbers import exact_mean
 def fit_scaler(train: DataFrame, columns: Sequence[str] = S.SCALED) -> DataFrame:
     """Parameter table (feature, mean, scale); population deviation, 1 for a constant column."""
     present = [c for c in columns if c in train.columns]
+    if not present:
+        return train.sparkSession.createDataFrame([], "feature string, mean double, scale double")
     aggregates = []
     for i, c in enumerate(present):
         value = F.col(f"`{c}`").cast("double")
@@ -29,8 +31,10 @@ def fit_scaler(train: DataFrame, columns: Sequence[str] = S.SCALED) -> DataFrame
 
 def apply_scaler(df: DataFrame, parameters: DataFrame) -> DataFrame:
     """Standardise the fitted columns. The parameters, one row per column, become literals of the plan."""
-    fitted = {r.feature: (r.mean, r.scale) for r in parameters.collect()}
+    fitted = {r.feature: (r["mean"], r["scale"]) for r in parameters.collect() if r.feature in df.columns}
+    if not fitted:
+        return df
     return df.withColumns({
         c: (F.col(c).cast("double") - F.lit(mean)) / F.lit(scale)
-        for c, (mean, scale) in fitted.items() if c in df.columns
+        for c, (mean, scale) in fitted.items()
     })

@@ -36,7 +36,7 @@ def fold_scores(
 
     tasks = [(k, name) for name in names for k in range(folds)]
     with ThreadPool(min(parallelism, len(tasks))) as pool:
-        parts = pool.map(inheritable_thread_target(run), tasks)
+        parts = pool.map(inheritable_thread_target(train.sparkSession)(run), tasks)
     return reduce(DataFrame.unionByName, parts)
 
 
