@@ -44,7 +44,7 @@ def _add_on(condition: str) -> str:
 
 
 # How each raw column follows from the customer key (k), nation (n), balance (bal), market
-# segment (seg), order count (made), order value (spend) and months since the last order (idle).
+# segment (seg), order count (made), order value in cents (spend) and months since the last order (idle).
 DERIVED_COLUMNS = {
     "customerID": "CAST(k AS STRING)",
     "gender": "CASE WHEN k % 2 = 0 THEN 'Female' ELSE 'Male' END",
@@ -67,7 +67,7 @@ DERIVED_COLUMNS = {
                      " WHEN 2 THEN 'Bank transfer (automatic)' ELSE 'Credit card (automatic)' END,"
                      " CASE WHEN k % 11 = 0 THEN ' ' ELSE '' END)",
     "MonthlyCharges": "floor(abs(bal) / 80 * 100 + 0.5D) / 100",
-    "TotalCharges": "CASE WHEN made <= 3 THEN ' ' ELSE CAST(CAST(spend / 1000 AS DECIMAL(18,2)) AS STRING) END",
+    "TotalCharges": "CASE WHEN made <= 3 THEN ' ' ELSE CAST(CAST(CAST(spend AS DECIMAL(20,0)) / 100000 AS DECIMAL(18,2)) AS STRING) END",
     "Churn": _yes_if("idle IS NULL OR idle >= 11"),
 }
 
@@ -77,14 +77,15 @@ def customers_from_orders(spark: SparkSession, directory: str) -> DataFrame:
 
     Order history is reduced to one row per customer before the join, so a customer with very many
     orders is already one row when it is shuffled. Every fiftieth customer appears twice, which gives
-    the de-duplication operators something to remove; no customer is left out.
+    the de-duplication operators something to remove; no customer is left out. Order values are summed as
+    whole cents, which is exact and keeps the aggregation buffer a plain long.
     """
     customer = spark.read.schema(CUSTOMER_COLUMNS).parquet(f"{directory}/customer.parquet")
     orders = spark.read.schema(ORDER_COLUMNS).parquet(f"{directory}/orders.parquet").selectExpr(
-        "o_custkey AS k", "CAST(o_totalprice AS DECIMAL(18,2)) AS price",
+        "o_custkey AS k", "CAST(rint(o_totalprice * 100) AS BIGINT) AS cents",
         "year(o_orderdate) * 12 + month(o_orderdate) AS month")
     history = orders.groupBy("k").agg(
-        F.expr("count(1) AS made"), F.expr("sum(price) AS spend"), F.expr("max(month) AS last_month"))
+        F.expr("count(1) AS made"), F.expr("sum(cents) AS spend"), F.expr("max(month) AS last_month"))
     snapshot = orders.agg(F.max("month")).scalar()
     return (
         customer.selectExpr("c_custkey AS k", "c_nationkey AS n", "c_acctbal AS bal", "c_mktsegment AS seg")
