@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlake.llm import language_id, license_scan, mixing, placement, quality_rules
+from churnlake.llm import language_id, license_scan, mixing, placement, quality_rules, token_blocks
 from churnlake.llm.common import read_table
 
 
+def tokenizer_file() -> str:
+    """The public byte-level BPE vocabulary, a file that is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_table(spark, sf_dir, "documents"))
 
@@ -16,6 +23,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_blocks.token_table(read_table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return judged.withColumnRenamed("id", "doc_id").select(
@@ -36,6 +47,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
+    "op4_token_blocks": op4_token_blocks,
     "op7_quality_rules": op7_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
