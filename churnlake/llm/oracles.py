@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from churnlake.llm import license_scan, mixing, placement, quality_rules
+from churnlake.llm import decontamination, license_scan, mixing, placement, quality_rules
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -162,7 +162,46 @@ m AS ({_rule_sql()})
 SELECT doc_id, rule, license, n_sentences FROM m
 WHERE NOT EXISTS (SELECT 1 FROM m AS o WHERE o.rid = m.rid AND list_contains(m.longer, o.rule))"""
 
+_LOWER = r"regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+')"
+_SHINGLES = "list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))"
+_PRINT = f"""(SELECT sum(CASE WHEN 2 * votes > n THEN CAST(1 AS BIGINT) << bit ELSE 0 END) FROM (
+    SELECT bit, count(*) AS n, sum((CAST('0x' || substr(md5(word), 1, 15) AS BIGINT) >> bit) & 1) AS votes
+    FROM (SELECT unnest(x.w) AS word) AS u, range({decontamination.BLOCKS * decontamination.BLOCK_BITS}) AS r(bit)
+    GROUP BY bit))"""
+
+LEAKS = rf"""
+WITH items AS (
+  SELECT item_id, len(w) AS size, w, {_SHINGLES} AS s
+  FROM (SELECT item_id, {_LOWER} AS w FROM benchmark) WHERE len(w) >= 5),
+wanted AS (SELECT DISTINCT size, unnest(s) AS g, unnest(range(len(s))) AS at FROM items),
+d AS (SELECT DISTINCT doc_id, text, {_LOWER} AS w FROM __docs__),
+grams AS (SELECT doc_id, text, w, unnest({_SHINGLES}) AS g, unnest(range(len(w) - 4)) AS at FROM d WHERE len(w) >= 5),
+windows AS (
+  SELECT DISTINCT doc_id, text, size, greatest(0, least(grams.at - wanted.at, len(w) - size)) AS start, w
+  FROM grams JOIN wanted USING (g)),
+cut AS (SELECT doc_id, text, size, start, w[start + 1:start + size] AS w FROM windows),
+a AS (SELECT x.*, {_PRINT} AS print, {_SHINGLES.replace('w[', 'x.w[').replace('len(w)', 'len(x.w)')} AS s FROM cut AS x),
+b AS (SELECT x.*, {_PRINT} AS print FROM items AS x),
+pairs AS (
+  SELECT a.doc_id, a.text, b.item_id, a.start, a.size, bit_count(xor(CAST(a.print AS BIGINT), CAST(b.print AS BIGINT))) AS hamming,
+         list_sum(list_transform(list_distinct(a.s), lambda g: least(
+           len(list_filter(a.s, lambda y: y = g)), len(list_filter(b.s, lambda y: y = g))))) AS common,
+         len(a.s) + len(b.s) AS n_both
+  FROM a JOIN b USING (size)),
+close AS (
+  SELECT *, CAST(common AS DOUBLE) / CAST(n_both - common AS DOUBLE) AS similarity FROM pairs
+  WHERE hamming <= {decontamination.RADIUS} AND 100 * common >= {decontamination.SIMILARITY_PERCENT} * (n_both - common)),
+found AS (
+  SELECT * FROM close
+  QUALIFY row_number() OVER (PARTITION BY doc_id, text, item_id ORDER BY similarity DESC, hamming, start) = 1)
+"""
+
+OP1 = LEAKS.replace("__docs__", "documents") + """
+SELECT doc_id, item_id, CAST(start AS INTEGER) AS start, CAST(size AS INTEGER) AS n_words,
+       CAST(hamming AS INTEGER) AS hamming, similarity FROM found"""
+
 ORACLES = {
+    "op1_decontamination": OP1,
     "op3_license_scan": OP3,
     "op7_quality_rules": OP7,
     "op9_mixing": OP9,

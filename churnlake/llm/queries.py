@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlake.llm import language_id, license_scan, mixing, placement, quality_rules, token_blocks
+from churnlake.llm import (
+    decontamination,
+    language_id,
+    license_scan,
+    mixing,
+    placement,
+    quality_rules,
+    token_blocks,
+)
 from churnlake.llm.common import read_table
 
 
@@ -15,6 +23,11 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontamination.contaminated(docs, items).drop("key")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_table(spark, sf_dir, "documents"))
 
@@ -45,6 +58,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
     "op4_token_blocks": op4_token_blocks,

@@ -28,6 +28,7 @@ by a hash of their text; ids must be integers; an empty table writes no file and
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import struct
@@ -51,16 +52,22 @@ BLOCK = struct.Struct("<IIBBH")
 BLOCK_IDS = 4096
 PERCENTILE = 99
 END_ID = 0
-CACHE = 400_000
-SEGMENT = 500_000
+CACHE = 600_000
+JOINED = 2_000
+SEGMENT = 2_000_000
 READ_BLOCKS = 256
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
+_PLAIN = re.compile(r" \S(?:[^ ]*\S)?")
 _UNSAFE = re.compile(r"\s |\s\s")
 _MARK = "\U0010fffe"
 
 
 class PieceEncoder:
-    """Ids of texts, from a tokenizer that is asked only for pieces not met before."""
+    """Ids of texts, from a tokenizer that is asked only for pieces not met before.
+
+    When the table of known pieces is full, those used most often stay. New pieces are encoded many in one call, as a text
+    that is cut again where a token begins with a space.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -68,33 +75,65 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
-        self._clear()
-
-    def _clear(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.flat, self.starts, self.sizes = (np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.codes) > CACHE:
-            self._clear()
-        new = list(dict.fromkeys(p for p in pieces if p not in self.codes))
-        if not new:
-            return
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        begin = len(self.flat) + np.cumsum(sizes) - sizes
-        self.flat = np.concatenate([self.flat, np.fromiter((x for i in ids for x in i), np.uint32, int(sizes.sum()))])
-        self.starts, self.sizes = np.concatenate([self.starts, begin]), np.concatenate([self.sizes, sizes])
+        rules = json.loads(self.tokenizer.to_str())
+        cutter = rules["pre_tokenizer"] or {}
+        #: Whether the tokenizer cuts a text before single spaces; if not, whole texts are its pieces.
+        self.cuts = rules["normalizer"] is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", False) \
+            and not cutter.get("add_prefix_space", True)
+        size = self.tokenizer.get_vocab_size()
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+        self._keep([], np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def _keep(self, pieces: list[str], flat: np.ndarray, sizes: np.ndarray, uses: np.ndarray) -> None:
+        self.codes = dict(zip(pieces, range(len(pieces))))
+        self.flat, self.sizes, self.uses = flat, sizes, uses
+        self.starts = np.cumsum(sizes) - sizes
+
+    def _forget(self) -> None:
+        """Keep the more used half, and of the rest nothing."""
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[:CACHE // 2])
+        known = list(self.codes)
+        flat = self.flat[_ragged(self.starts[kept], self.sizes[kept])]
+        self._keep([known[i] for i in kept], flat, self.sizes[kept], self.uses[kept] // 2)
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = [p for p in pieces if _PLAIN.fullmatch(p)] if self.cuts else []
+        others = [p for p in pieces if not _PLAIN.fullmatch(p)] if self.cuts else pieces
+        texts = ["".join(plain[i:i + JOINED]) for i in range(0, len(plain), JOINED)]
+        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate([np.zeros(0, np.uint32), *found])
+        begins = np.flatnonzero(self.spaced[flat])
+        if len(begins) != len(plain):
+            raise ValueError("the tokenizer does not cut before single spaces")
+        sizes = np.diff(np.append(begins, len(flat)))
+        rest = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        pieces[:] = plain + others
+        return (np.concatenate([flat, np.array([x for ids in rest for x in ids], np.uint32)]),
+                np.concatenate([sizes, np.array([len(ids) for ids in rest], np.int64)]))
 
     def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each piece."""
-        self._learn(pieces)
-        codes = np.fromiter(map(self.codes.__getitem__, pieces), np.int64, len(pieces))
-        sizes, starts = self.sizes[codes], self.starts[codes]
-        ends = np.cumsum(sizes)
-        where = np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
-        return self.flat[where], sizes
+        codes = list(map(self.codes.get, pieces))
+        if None in codes:
+            if len(self.codes) > CACHE:
+                self._forget()
+            new = list(dict.fromkeys(p for p in pieces if p not in self.codes))
+            flat, sizes = self._encode(new)
+            self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+            self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+            codes = list(map(self.codes.__getitem__, pieces))
+        codes = np.array(codes, np.int64)
+        self.uses += np.bincount(codes, minlength=len(self.uses))
+        sizes = self.sizes[codes]
+        return self.flat[_ragged(self.starts[codes], sizes)], sizes
+
+
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of every run, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 @functools.cache
@@ -125,6 +164,8 @@ def encoded(texts: list[str], path: str, end_id: int = END_ID) -> Iterator[tuple
     """(row, ids, whether they end the row's text), in order; groups of rows share a call, long texts come in parts."""
     held: list[tuple[int, list[str], bool]] = []
     size = 0
+    cuts = encoder(path).cuts
+    cut = pieces_of if cuts else lambda text: [text]
 
     def flush():
         ids, sizes = encoder(path).ids([p for _, pieces, _ in held for p in pieces])
@@ -135,9 +176,9 @@ def encoded(texts: list[str], path: str, end_id: int = END_ID) -> Iterator[tuple
             yield row, (np.append(part, np.uint32(end_id)) if last else part), last
 
     for row, text in enumerate(texts):
-        parts = list(segments(text))
+        parts = list(segments(text)) if cuts else [text]
         for k, part in enumerate(parts):
-            held.append((row, pieces_of(part) if part else [], k == len(parts) - 1))
+            held.append((row, cut(part) if part else [], k == len(parts) - 1))
             size += len(part)
             if size >= SEGMENT:
                 yield from flush()
