@@ -9,6 +9,7 @@ from churnlake.llm import (
     language_id,
     license_scan,
     mixing,
+    near_duplicates,
     placement,
     quality_rules,
     token_blocks,
@@ -40,6 +41,10 @@ def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_table(read_table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.class_table(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return judged.withColumnRenamed("id", "doc_id").select(
@@ -62,6 +67,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
     "op4_token_blocks": op4_token_blocks,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_quality_rules": op7_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
