@@ -9,10 +9,11 @@ Jaccard similarity. All points before a time at which every position is very lik
 passes; texts with a position still empty are repeated with a later time, which leaves the signature exact.
 
 **Candidates.** 28 bands of 5 positions: a pair of similarity 0.8 is missed with probability 1.5e-5. In each bucket the
-members are compared with one representative only (a star), links make components, and then only buckets that hold
-more than one component are looked at again, with another representative each round. When a round adds no link, or
-after ``ROUNDS``, the pairs of members of different components that are left are compared, without exception.
-Pairs whose sizes alone rule out the similarity are left out.
+members are compared with one representative only (a star) and links make components. After that only buckets of three
+or more that still hold different components matter. For their texts it is counted how many of their shingles occur in
+none of the others: those cannot be common to a pair, which bounds the similarity of every pair from above. Stars go
+on for ``ROUNDS``, the first of them around the member with the smallest share of such shingles, the centre of a group of
+edited copies; then all pairs of members of different components that the bound allows are compared, without exception.
 
 **Verification.** Both texts are joined to the candidate pairs and the overlap of the multisets is counted. Texts leave
 the scan only for pairs. Classes are the connected components of the verified links between texts; equal texts
@@ -41,7 +42,7 @@ from churnlake.llm.components import components
 from churnlake.llm.textbytes import chunks, mix, shingle_counts
 
 BANDS, ROWS = 28, 5
-ROUNDS = 4
+ROUNDS = 3
 BATCH = 1_000
 
 
@@ -177,25 +178,30 @@ def text_classes(docs: DataFrame, text: Column, similarity: float = SIMILARITY,
     texts = staged(
         docs.where(text.isNotNull()).select(F.md5(text).alias("key"), text.alias("text"))
         .join(keys, F.col("key") == F.col("of"), "left_semi").groupBy("key").agg(F.first("text").alias("text")), "near-texts")
+    members = members.withColumn("loose", F.lit(0).cast("long"))
     labels = spark.createDataFrame([], "key string, comp string")
     tried = spark.createDataFrame([], "a string, b string")
-    fits = F.least("n", "rep_n") >= F.lit(similarity) * F.greatest("n", "rep_n")
+    most = F.least(F.col("n") - F.col("loose"), F.col("rep_n") - F.col("rep_loose"))
+    fits = most >= F.lit(similarity) * (F.col("n") + F.col("rep_n") - most) - F.lit(1e-9)
 
     for turn in range(rounds + 1):
         named = members.join(labels.select(F.col("key").alias("of"), "comp"), F.col("key") == F.col("of"), "left").select(
-            "bucket", "key", "n", F.coalesce("comp", "key").alias("comp"))
+            "bucket", "key", "n", "loose", F.coalesce("comp", "key").alias("comp"))
         named = staged(named, "near-named")
-        order = F.xxhash64("key", F.lit(turn))
-        live = named.groupBy("bucket").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.min(F.struct(order.alias("o"), "key", "n", "comp")).alias("rep")).where("low < high")
+        order = F.xxhash64("key", F.lit(turn)) if turn != 1 else F.floor(F.col("loose") * 1000 / F.col("n"))
+        live = staged(named.groupBy("bucket").agg(
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("m"),
+            F.min(F.struct(order.alias("o"), "key", "n", "loose", "comp")).alias("rep")).where("low < high"), "near-live")
+        if not live.limit(1).count():
+            break
         if turn < rounds:
-            stars = live.select(F.col("bucket").alias("of"), F.col("rep.key").alias("rep_key"),
-                                F.col("rep.n").alias("rep_n"), F.col("rep.comp").alias("rep_comp"))
+            stars = live.select(
+                F.col("bucket").alias("of"), F.col("rep.key").alias("rep_key"), F.col("rep.n").alias("rep_n"),
+                F.col("rep.loose").alias("rep_loose"), F.col("rep.comp").alias("rep_comp"))
         else:  # what is left: every pair of members whose components still differ
             stars = named.join(live.select(F.col("bucket").alias("l")), F.col("bucket") == F.col("l"), "left_semi").select(
                 F.col("bucket").alias("of"), F.col("key").alias("rep_key"), F.col("n").alias("rep_n"),
-                F.col("comp").alias("rep_comp"))
+                F.col("loose").alias("rep_loose"), F.col("comp").alias("rep_comp"))
         met = named.join(stars, F.col("bucket") == F.col("of")).where((F.col("comp") != F.col("rep_comp")) & fits)
         pairs = met.select(F.least("key", "rep_key").alias("a"), F.greatest("key", "rep_key").alias("b")).distinct()
         known = tried.select(F.col("a").alias("ta"), F.col("b").alias("tb"))
@@ -205,9 +211,37 @@ def text_classes(docs: DataFrame, text: Column, similarity: float = SIMILARITY,
             tried = staged(tried.unionByName(pairs), "near-tried")
             if links.limit(1).count():
                 labels = _merged(labels, links)
+        if turn == 0:
+            members = _linkable(members, live, texts, similarity)
     return labels
 
 
+def _linkable(members: DataFrame, live: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Members of live buckets of three or more (the star has settled those of two), with ``loose``: how many of their
+    shingles occur in no other such text. None of these can be common to a pair, so a member with too many is out."""
+    open_ = live.where("m > 2").select(F.col("bucket").alias("l"))
+    left = staged(members.drop("loose").join(open_, F.col("bucket") == F.col("l"), "left_semi"), "near-open")
+    keys = left.select(F.col("key").alias("of")).distinct()
+
+    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids = batch["id"].to_numpy()
+            for at, data in chunks(batch["text"].tolist()):
+                owner, hashes, counts = shingle_counts(data, SHINGLE)
+                yield pd.DataFrame({"id": ids[np.array(at)[owner]], "hash": hashes.view(np.int64), "c": counts})
+
+    chosen = texts.join(keys, F.col("key") == F.col("of"), "left_semi").select(F.xxhash64("key").alias("id"), "text")
+    once = (
+        chosen.mapInPandas(shingles, "id long, hash long, c long")
+        .groupBy("hash").agg(F.count(F.lit(1)).alias("texts"), F.min("id").alias("id"), F.min("c").alias("c"))
+        .where("texts = 1").groupBy("id").agg(F.sum("c").alias("loose")))
+    with small_batches(members.sparkSession):
+        once = staged(once.select(F.col("id").alias("i"), "loose"), "near-loose")
+    counted = left.join(once, F.xxhash64("key") == F.col("i"), "left").select(
+        "bucket", "key", "n", F.coalesce("loose", F.lit(0)).cast("long").alias("loose"))
+    return staged(counted.where(F.col("loose") <= F.lit(1 - similarity) * F.col("n") + F.lit(1e-9)), "near-members")
+
+
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after more links: components of the links between labels, carried over to the keys."""
     label = lambda side: labels.select(F.col("key").alias(f"k{side}"), F.col("comp").alias(f"c{side}"))

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from churnlake.llm import (
     decontamination,
+    html_text,
     language_id,
     license_scan,
     mixing,
     near_duplicates,
     placement,
     quality_rules,
+    suffix_dedup,
     token_blocks,
 )
 from churnlake.llm.common import read_table
@@ -41,6 +43,10 @@ def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_table(read_table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.class_table(read_table(spark, sf_dir, "documents"))
 
@@ -52,6 +58,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         *quality_rules.RULES)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(read_table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -67,8 +77,10 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
     "op4_token_blocks": op4_token_blocks,
+    "op5_html_text": op5_html_text,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_quality_rules": op7_quality_rules,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
 }
