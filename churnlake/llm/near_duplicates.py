@@ -120,7 +120,7 @@ def text_signatures(docs: DataFrame, text: Column, bands: int, rows: int) -> Dat
                 codes = band_codes(signatures(owner, hashes, counts, len(data), bands * rows), bands, rows)
                 total = np.bincount(owner, weights=counts, minlength=len(data)).astype(np.int64)
                 some = np.flatnonzero(total)
-                yield pd.DataFrame({"key": keys[np.array(at)[some]], "n": total[some], "codes": list(codes[some])})
+                yield pd.DataFrame({"key": keys[np.array(at)[some]], "n": total[some], "codes": pd.Series(list(codes[some]), dtype=object)})
 
     ready = docs.where(text.isNotNull()).select(F.md5(text).alias("key"), text.alias("text"))
     signed = ready.mapInPandas(sign, "key string, n long, codes array<long>")
