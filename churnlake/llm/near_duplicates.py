@@ -202,7 +202,8 @@ def text_classes(docs: DataFrame, text: Column, similarity: float = SIMILARITY,
             stars = named.join(live.select(F.col("bucket").alias("l")), F.col("bucket") == F.col("l"), "left_semi").select(
                 F.col("bucket").alias("of"), F.col("key").alias("rep_key"), F.col("n").alias("rep_n"),
                 F.col("loose").alias("rep_loose"), F.col("comp").alias("rep_comp"))
-        met = named.join(stars, F.col("bucket") == F.col("of")).where((F.col("comp") != F.col("rep_comp")) & fits)
+        once = F.col("key") != F.col("rep_key") if turn < rounds else F.col("key") < F.col("rep_key")
+        met = named.join(stars, F.col("bucket") == F.col("of")).where((F.col("comp") != F.col("rep_comp")) & once & fits)
         pairs = met.select(F.least("key", "rep_key").alias("a"), F.greatest("key", "rep_key").alias("b")).distinct()
         known = tried.select(F.col("a").alias("ta"), F.col("b").alias("tb"))
         pairs = staged(pairs.join(known, (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti"), "near-pairs")
