@@ -13,7 +13,14 @@ members are compared with one representative only (a star) and links make compon
 or more that still hold different components matter. For their texts it is counted how many of their shingles occur in
 none of the others: those cannot be common to a pair, which bounds the similarity of every pair from above. Stars go
 on for ``ROUNDS``, the first of them around the member with the smallest share of such shingles, the centre of a group of
-edited copies; then all pairs of members of different components that the bound allows are compared, without exception.
+edited copies. What is then still apart is found through the centre, without comparing all with all.
+
+**Differences from the centre.** Let d(x) be the signed difference of the multisets of x and of the centre p of a bucket,
+|d(x)| its absolute sum, n the sizes and c = (1 - s) / (1 + s). A pair is similar enough if and only if |d(x) - d(y)| <=
+c (n(x) + n(y)), so the two differences must share at least (|d(x)| + |d(y)| - c (n(x) + n(y))) / 2. Where that is not
+positive both texts are linked to p, and are in one component already. All other pairs have a common part, and the first
+one in a fixed order (gained before lost shingles) leaves at least that much behind it in both texts. So an equality join
+on (p, part) that looks at what is left behind finds every such pair; parts too far back for any partner are not written.
 
 **Verification.** Both texts are joined to the candidate pairs and the overlap of the multisets is counted. Texts leave
 the scan only for pairs. Classes are the connected components of the verified links between texts; equal texts
@@ -128,32 +135,92 @@ def text_signatures(docs: DataFrame, text: Column, bands: int, rows: int) -> Dat
         return staged(signed.groupBy("key").agg(F.first("n").alias("n"), F.first("codes").alias("codes")), "signatures")
 
 
+def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs`` (a, b and other columns) with text_a and text_b. ``texts`` has key, text."""
+    left = texts.select(F.col("key").alias("ka"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("key").alias("kb"), F.col("text").alias("text_b"))
+    return pairs.join(left, F.col("a") == F.col("ka")).join(right, F.col("b") == F.col("kb")).drop("ka", "kb")
+
+
+def multisets(batch: pd.DataFrame) -> dict[str, tuple]:
+    """Sorted multiset (hashes, counts, total) of every text of a batch of ``with_texts``, by key."""
+    both = dict(zip(batch["a"], batch["text_a"])) | dict(zip(batch["b"], batch["text_b"]))
+    keys = list(both)
+    sets = {}
+    for at, data in chunks([both[k] for k in keys]):
+        owner, hashes, counts = shingle_counts(data, SHINGLE)
+        order = np.lexsort((hashes, owner))
+        owner, hashes, counts = owner[order], hashes[order], counts[order]
+        edges = np.searchsorted(owner, np.arange(len(data) + 1))
+        for k, x, y in zip(at, edges[:-1], edges[1:]):
+            sets[keys[k]] = (hashes[x:y], counts[x:y], int(counts[x:y].sum()))
+    return sets
+
+
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose multisets are similar enough, written. ``texts`` has key, text."""
+    """The pairs (a, b) whose multisets are similar enough, written."""
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            both = dict(zip(batch["a"], batch["text_a"])) | dict(zip(batch["b"], batch["text_b"]))
-            keys = list(both)
-            sets = {}
-            for at, data in chunks([both[k] for k in keys]):
-                owner, hashes, counts = shingle_counts(data, SHINGLE)
-                order = np.lexsort((hashes, owner))
-                owner, hashes, counts = owner[order], hashes[order], counts[order]
-                edges = np.searchsorted(owner, np.arange(len(data) + 1))
-                for k, x, y in zip(at, edges[:-1], edges[1:]):
-                    sets[keys[k]] = (hashes[x:y], counts[x:y], int(counts[x:y].sum()))
+            sets = multisets(batch)
             keep = [overlap(sets[a], sets[b]) >= similarity for a, b in zip(batch["a"], batch["b"])]
             yield batch.loc[np.array(keep, dtype=bool), ["a", "b"]]
 
-    left = texts.select(F.col("key").alias("ka"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("key").alias("kb"), F.col("text").alias("text_b"))
-    joined = (
-        pairs.join(left, F.col("a") == F.col("ka")).join(right, F.col("b") == F.col("kb"))
-        .select("a", "b", "text_a", "text_b"))
+    joined = with_texts(pairs, texts).select("a", "b", "text_a", "text_b")
     with small_batches(pairs.sparkSession):
         return staged(joined.mapInPandas(check, "a string, b string"), "near-links")
 
 
+def difference(x: tuple, centre: tuple, similarity: float) -> tuple[np.ndarray, np.ndarray, int, bool]:
+    """Of a multiset and the centre: the parts of the signed difference that a partner can begin with, the weight from
+    each part to the end, the whole weight, and whether the two are too far apart for a link."""
+    hashes, at = np.unique(np.concatenate([x[0], centre[0]]), return_inverse=True)
+    signed = np.bincount(at, weights=np.concatenate([x[1], -centre[1]]), minlength=len(hashes)).astype(np.int64)
+    some = signed != 0
+    hashes, signed = hashes[some], signed[some]
+    order = np.lexsort((hashes, signed < 0))
+    hashes, signed = hashes[order], signed[order]
+    weight = np.abs(signed)
+    total = int(weight.sum())
+    rest = total - np.cumsum(weight) + weight
+    ratio = (1 - similarity) / (1 + similarity)
+    beyond = total - ratio * (x[2] + centre[2])
+    far = beyond > -1e-6
+    # The least common weight with any partner, for which at least one of the two is far from the centre.
+    least = max(1.0, beyond / (1 + ratio)) if far else max(1.0, (1 - ratio) * total / 2)
+    use = rest >= least - 1e-6
+    parts = np.where(signed < 0, mix(hashes ^ np.uint64(0x9FB21C651E98DF25)), hashes)
+    return parts[use].view(np.int64), rest[use], total, bool(far)
+
+
+def across(named: DataFrame, live: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of members of live buckets, of different components, whose differences from the centre can be close."""
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = multisets(batch)
+            for a, b, comp in zip(batch["a"], batch["b"], batch["comp"]):
+                begin, rest, total, far = difference(sets[b], sets[a], similarity)
+                if len(begin):
+                    yield pd.DataFrame({"a": a, "part": begin, "b": b, "comp": comp, "n": sets[b][2], "rest": rest, "total": total,
+                                        "far": far})
+
+    centres = live.where("m > 2").select(F.col("bucket").alias("of"), F.col("rep.key").alias("a"))
+    spokes = staged(
+        named.join(centres, F.col("bucket") == F.col("of")).where(F.col("key") != F.col("a"))
+        .select("a", F.col("key").alias("b"), "comp").distinct(), "near-spokes")
+    with small_batches(named.sparkSession):
+        entries = staged(
+            with_texts(spokes, texts).select("a", "b", "comp", "text_a", "text_b")
+            .mapInPandas(parts, "a string, part long, b string, comp string, n long, rest long, total long, far boolean"),
+            "near-parts")
+    x, y = entries.where("far").alias("x"), entries.alias("y")
+    ratio = F.lit((1 - similarity) / (1 + similarity))
+    need = F.col("x.total") + F.col("y.total") - ratio * (F.col("x.n") + F.col("y.n"))
+    met = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.comp") != F.col("y.comp"))
+                 & (~F.col("y.far") | (F.col("x.b") < F.col("y.b")))
+                 & (2 * F.least("x.rest", "y.rest") >= need - F.lit(1e-6)))
+    return met.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
+
+
 def overlap(x: tuple, y: tuple) -> float:
     """Weighted Jaccard similarity of two sorted multisets (hashes, counts, total)."""
     if len(x[0]) > len(y[0]):
@@ -169,6 +236,8 @@ def overlap(x: tuple, y: tuple) -> float:
 def text_classes(docs: DataFrame, text: Column, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
                  rounds: int = ROUNDS) -> DataFrame:
     """key, comp: MD5 of every text that is linked to another text, and the smallest MD5 of its class."""
+    if rounds < 2:
+        raise ValueError("the second star, around the centres, is needed")
     spark = docs.sparkSession
     signed = text_signatures(docs, text, bands, rows)
     entries = signed.select("key", "n", F.explode("codes").alias("bucket"))
@@ -188,7 +257,9 @@ def text_classes(docs: DataFrame, text: Column, similarity: float = SIMILARITY,
         named = members.join(labels.select(F.col("key").alias("of"), "comp"), F.col("key") == F.col("of"), "left").select(
             "bucket", "key", "n", "loose", F.coalesce("comp", "key").alias("comp"))
         named = staged(named, "near-named")
-        order = F.xxhash64("key", F.lit(turn)) if turn != 1 else F.floor(F.col("loose") * 1000 / F.col("n"))
+        # The centre of the second star is also that of the differences, so that all its links are known by then.
+        central = turn in (1, rounds)
+        order = F.floor(F.col("loose") * 1000 / F.col("n")) if central else F.xxhash64("key", F.lit(turn))
         live = staged(named.groupBy("bucket").agg(
             F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("m"),
             F.min(F.struct(order.alias("o"), "key", "n", "loose", "comp")).alias("rep")).where("low < high"), "near-live")
@@ -198,13 +269,10 @@ def text_classes(docs: DataFrame, text: Column, similarity: float = SIMILARITY,
             stars = live.select(
                 F.col("bucket").alias("of"), F.col("rep.key").alias("rep_key"), F.col("rep.n").alias("rep_n"),
                 F.col("rep.loose").alias("rep_loose"), F.col("rep.comp").alias("rep_comp"))
-        else:  # what is left: every pair of members whose components still differ
-            stars = named.join(live.select(F.col("bucket").alias("l")), F.col("bucket") == F.col("l"), "left_semi").select(
-                F.col("bucket").alias("of"), F.col("key").alias("rep_key"), F.col("n").alias("rep_n"),
-                F.col("loose").alias("rep_loose"), F.col("comp").alias("rep_comp"))
-        once = F.col("key") != F.col("rep_key") if turn < rounds else F.col("key") < F.col("rep_key")
-        met = named.join(stars, F.col("bucket") == F.col("of")).where((F.col("comp") != F.col("rep_comp")) & once & fits)
-        pairs = met.select(F.least("key", "rep_key").alias("a"), F.greatest("key", "rep_key").alias("b")).distinct()
+            met = named.join(stars, F.col("bucket") == F.col("of")).where((F.col("comp") != F.col("rep_comp")) & fits)
+            pairs = met.select(F.least("key", "rep_key").alias("a"), F.greatest("key", "rep_key").alias("b")).distinct()
+        else:
+            pairs = across(named, live, texts, similarity)
         known = tried.select(F.col("a").alias("ta"), F.col("b").alias("tb"))
         pairs = staged(pairs.join(known, (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti"), "near-pairs")
         if pairs.limit(1).count():
