@@ -240,3 +240,58 @@ def test_sharding(spark, edge_docs, no_docs):
     assert placement.place(no_docs, "doc_id", shards, 499).count() == 0
     with pytest.raises(ValueError):
         placement.place(edge_docs, "doc_id", shards.limit(0), 499)
+
+
+def test_differences_keep_every_similar_pair():
+    """Every similar pair of which a side is far from the centre shares a part with enough left behind it."""
+    rng, c = random.Random(11), 0.2 / 1.8
+    alike = 0
+    for _ in range(300):
+        centre = {h: rng.choice((1, 1, 1, 3)) for h in rng.sample(range(1, 10_000), 60)}
+        far = dict(centre)
+        for h in rng.sample(sorted(centre), 9):
+            far.pop(h)
+            far[h + 20_000] = rng.choice((1, 2))
+
+        def near(base):
+            out = dict(base)
+            for h in rng.sample(sorted(base), rng.randrange(0, 5)):
+                out[h] -= 1
+                out[h + rng.randrange(30_000, 40_000)] = 1
+            return {h: w for h, w in out.items() if w}
+
+        def multiset(d):
+            keys = np.array(sorted(d), dtype=np.uint64)
+            return keys, np.array([d[int(k)] for k in keys], dtype=np.int64), sum(d.values())
+
+        sets = [multiset(near(rng.choice((centre, far, far)))) for _ in range(6)]
+        diffs = [near_duplicates.difference(s, multiset(centre), 0.8) for s in sets]
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets[:i]):
+                if near_duplicates.overlap(x, y) < 0.8 or not (diffs[i][3] or diffs[j][3]):
+                    continue
+                alike += 1
+                rest = [dict(zip(diffs[k][0].tolist(), diffs[k][1].tolist())) for k in (i, j)]
+                need = diffs[i][2] + diffs[j][2] - c * (x[2] + y[2])
+                assert any(2 * min(rest[0][g], rest[1][g]) >= need - 1e-6 for g in rest[0].keys() & rest[1].keys())
+    assert alike > 300
+
+
+def test_families_of_edited_copies(spark):
+    """Many edited copies of one text and of a variant of it: classes as by brute force."""
+    from test_queries import brute_classes
+
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(5_000)}" for _ in range(150)]
+    variant = base[:40] + [f"v{k}" for k in range(9)] + base[49:100] + base[95:]
+    docs = {}
+    for k in range(400):
+        words = list(rng.choice((base, variant)))
+        for _ in range(rng.randrange(0, 7)):
+            at = rng.randrange(len(words))
+            words[at:at + 1] = rng.choice(([f"n{rng.randrange(10**9)}"], [f"m{rng.randrange(4)}"], [], [words[at], words[at]]))
+        docs[k] = " ".join(words)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.class_id for r in near_duplicates.class_table(df).collect()}
+    expected = brute_classes(docs)
+    assert found == expected and 10 < len(set(expected.values())) < 390
