@@ -18,7 +18,7 @@ edited copies. What is then still apart is found through the centre, without com
 **Differences from the centre.** Let d(x) be the signed difference of the multisets of x and of the centre p of a bucket,
 |d(x)| its absolute sum, n the sizes and c = (1 - s) / (1 + s). A pair is similar enough if and only if |d(x) - d(y)| <=
 c (n(x) + n(y)), so the two differences must share at least (|d(x)| + |d(y)| - c (n(x) + n(y))) / 2. Where that is not
-positive both texts are linked to p, and are in one component already. All other pairs have a common part, and the first
+positive both texts are near to p: these links are made in the same step. All other pairs have a common part, and the first
 one in a fixed order (gained before lost shingles) leaves at least that much behind it in both texts. So an equality join
 on (p, part) that looks at what is left behind finds every such pair; parts too far back for any partner are not written.
 
@@ -193,24 +193,38 @@ def difference(x: tuple, centre: tuple, similarity: float) -> tuple[np.ndarray,
 
 
 def across(named: DataFrame, live: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of members of live buckets, of different components, whose differences from the centre can be close."""
+    """Pairs (a, b) of members of live buckets, of different components, whose differences from the centre can be close,
+    and members with a centre they are near to: after their links, two texts near to one centre are in one component."""
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = multisets(batch)
-            for a, b, comp in zip(batch["a"], batch["b"], batch["comp"]):
+            for a, b, comp, apart in zip(batch["a"], batch["b"], batch["comp"], batch["apart"]):
                 begin, rest, total, far = difference(sets[b], sets[a], similarity)
-                if len(begin):
-                    yield pd.DataFrame({"a": a, "part": begin, "b": b, "comp": comp, "n": sets[b][2], "rest": rest, "total": total,
-                                        "far": far})
-
-    centres = live.where("m > 2").select(F.col("bucket").alias("of"), F.col("rep.key").alias("a"))
+                if not far and not len(begin):  # a row that tells that it is near
+                    begin, rest = np.zeros(1, np.int64), np.zeros(1, np.int64)
+                yield pd.DataFrame({"a": a, "part": begin, "b": b, "comp": comp, "n": sets[b][2], "rest": rest, "total": total,
+                                    "far": far, "apart": apart})
+
+    # The centre of a bucket hands over to the most central text among the centres of its own buckets, and that one again,
+    # so that the buckets of a family meet around few texts. A centre need not be a member.
+    open_ = live.where("m > 2").select(F.col("bucket").alias("of"), F.struct(F.col("rep.o").alias("o"), F.col("rep.key").alias("key")).alias("to"))
+    heads = open_.select(F.col("to.key").alias("head")).distinct()
+    above = staged(
+        named.join(open_, F.col("bucket") == F.col("of")).join(heads, F.col("key") == F.col("head"), "left_semi")
+        .groupBy("key").agg(F.min("to").alias("to")).select("key", F.col("to.key").alias("up")), "near-above")
+    up = lambda k: above.select(F.col("key").alias(f"k{k}"), F.col("up").alias(f"up{k}"))
+    centres = (
+        open_.select("of", F.col("to.key").alias("q")).join(up(1), F.col("q") == F.col("k1")).join(up(2), F.col("up1") == F.col("k2"))
+        .select("of", F.col("up2").alias("a")))
+    comps = named.select(F.col("key").alias("ka"), F.col("comp").alias("comp_a")).distinct()
     spokes = staged(
         named.join(centres, F.col("bucket") == F.col("of")).where(F.col("key") != F.col("a"))
-        .select("a", F.col("key").alias("b"), "comp").distinct(), "near-spokes")
+        .select("a", F.col("key").alias("b"), "comp").distinct().join(comps, F.col("a") == F.col("ka"))
+        .select("a", "b", "comp", (F.col("comp") != F.col("comp_a")).alias("apart")), "near-spokes")
     with small_batches(named.sparkSession):
         entries = staged(
-            with_texts(spokes, texts).select("a", "b", "comp", "text_a", "text_b")
-            .mapInPandas(parts, "a string, part long, b string, comp string, n long, rest long, total long, far boolean"),
+            with_texts(spokes, texts).select("a", "b", "comp", "apart", "text_a", "text_b").mapInPandas(
+                parts, "a string, part long, b string, comp string, n long, rest long, total long, far boolean, apart boolean"),
             "near-parts")
     x, y = entries.where("far").alias("x"), entries.alias("y")
     ratio = F.lit((1 - similarity) / (1 + similarity))
@@ -218,7 +232,8 @@ def across(named: DataFrame, live: DataFrame, texts: DataFrame, similarity: floa
     met = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.comp") != F.col("y.comp"))
                  & (~F.col("y.far") | (F.col("x.b") < F.col("y.b")))
                  & (2 * F.least("x.rest", "y.rest") >= need - F.lit(1e-6)))
-    return met.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
+    near = entries.where("apart AND NOT far").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return met.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).unionByName(near).distinct()
 
 
 def overlap(x: tuple, y: tuple) -> float:
@@ -236,8 +251,6 @@ def overlap(x: tuple, y: tuple) -> float:
 def text_classes(docs: DataFrame, text: Column, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
                  rounds: int = ROUNDS) -> DataFrame:
     """key, comp: MD5 of every text that is linked to another text, and the smallest MD5 of its class."""
-    if rounds < 2:
-        raise ValueError("the second star, around the centres, is needed")
     spark = docs.sparkSession
     signed = text_signatures(docs, text, bands, rows)
     entries = signed.select("key", "n", F.explode("codes").alias("bucket"))
@@ -257,7 +270,6 @@ def text_classes(docs: DataFrame, text: Column, similarity: float = SIMILARITY,
         named = members.join(labels.select(F.col("key").alias("of"), "comp"), F.col("key") == F.col("of"), "left").select(
             "bucket", "key", "n", "loose", F.coalesce("comp", "key").alias("comp"))
         named = staged(named, "near-named")
-        # The centre of the second star is also that of the differences, so that all its links are known by then.
         central = turn in (1, rounds)
         order = F.floor(F.col("loose") * 1000 / F.col("n")) if central else F.xxhash64("key", F.lit(turn))
         live = staged(named.groupBy("bucket").agg(
