@@ -258,8 +258,8 @@ def text_classes(docs: DataFrame, text: Column, similarity: float = SIMILARITY,
     members = staged(entries.join(shared, F.col("bucket") == F.col("of"), "left_semi"), "near-members")
     keys = members.select(F.col("key").alias("of")).distinct()
     texts = staged(
-        docs.where(text.isNotNull()).select(F.md5(text).alias("key"), text.alias("text"))
-        .join(keys, F.col("key") == F.col("of"), "left_semi").groupBy("key").agg(F.first("text").alias("text")), "near-texts")
+        docs.where(text.isNotNull()).groupBy(F.md5(text).alias("key")).agg(F.first(text).alias("text"))  # copies combine before they move
+        .join(keys, F.col("key") == F.col("of"), "left_semi"), "near-texts")
     members = members.withColumn("loose", F.lit(0).cast("long"))
     labels = spark.createDataFrame([], "key string, comp string")
     tried = spark.createDataFrame([], "a string, b string")
