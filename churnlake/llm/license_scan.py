@@ -5,7 +5,9 @@ inside numbers become one space) and mapped to the identifier of a known licence
 document, in order, are matched against rules: a rule names a licence and the sentences that must follow one
 another, other sentences in between allowed. A rule whose sentences all lie in a longer rule that also matched is left
 out. Lines are sentences of their own in the first reading; in the second, line ends count as spaces, so that licence
-text with hard line ends is recognised too.
+text with hard line ends is recognised too. The third reads paragraphs: comment signs before a line are left out, blank
+lines and the lines around a copyright notice end a sentence, other line ends count as spaces, and an address begins a
+sentence. So a title and a copyright line do not run into a wrapped grant.
 
 Everything happens inside the row of a document, as column expressions: nothing is shuffled, and only texts with one of
 the words in ``HINT``, one of which every known sentence has, are cut up at all.
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from churnlake.llm.common import let
 
-#: Known licence sentences, normalised, by identifier.
+#: Known licence sentences, normalised, by identifier; cut where ``sentences`` cuts the published text.
 SENTENCES = {
     "mit-released": "released under the mit license",
     "mit-licensed": "licensed under the mit license",
@@ -41,11 +43,12 @@ SENTENCES = {
     "apache-use": "you may not use this file except in compliance with the license",
     "apache-copy": "you may obtain a copy of the license at",
     "gpl3-licensed": "this work is licensed under the gnu general public license version 3",
-    "gpl3-or-later": "this program is free software you can redistribute it and or modify it under the terms of the "
-                     "gnu general public license as published by the free software foundation either version 3 of "
-                     "the license or at your option any later version",
-    "gpl-warranty": "this program is distributed in the hope that it will be useful but without any warranty without "
-                    "even the implied warranty of merchantability or fitness for a particular purpose",
+    "gpl-free": "this program is free software",
+    "gpl3-or-later": "you can redistribute it and or modify it under the terms of the gnu general public license as "
+                     "published by the free software foundation either version 3 of the license or at your option any "
+                     "later version",
+    "gpl-warranty": "this program is distributed in the hope that it will be useful but without any warranty",
+    "gpl-implied": "without even the implied warranty of merchantability or fitness for a particular purpose",
     "ccbync4-licensed": "licensed under cc by nc 4.0",
     "ccby4-licensed": "licensed under cc by 4.0",
     "ccbysa4-licensed": "licensed under cc by sa 4.0",
@@ -65,7 +68,7 @@ RULES = (
     ("apache-short", "Apache-2.0", ("apache-licensed",)),
     ("apache-header", "Apache-2.0", ("apache-grant", "apache-use", "apache-copy")),
     ("gpl3-short", "GPL-3.0-only", ("gpl3-licensed",)),
-    ("gpl3-header", "GPL-3.0-or-later", ("gpl3-or-later", "gpl-warranty")),
+    ("gpl3-header", "GPL-3.0-or-later", ("gpl-free", "gpl3-or-later", "gpl-warranty", "gpl-implied")),
     ("cc-by-nc-short", "CC-BY-NC-4.0", ("ccbync4-licensed",)),
     ("cc-by-short", "CC-BY-4.0", ("ccby4-licensed",)),
     ("cc-by-sa-short", "CC-BY-SA-4.0", ("ccbysa4-licensed",)),
@@ -76,7 +79,7 @@ RULES = (
 
 
 #: Every known sentence contains one of these.
-HINT = r"(?i)licen[cs]|permission|copyright|redistribut|rights|warrant"
+HINT = r"(?i)licen[cs]|permission|copyright|redistribut|rights|warrant|free software"
 
 
 def normalised(sentence: Column) -> Column:
@@ -90,6 +93,13 @@ def sentences(text: Column) -> Column:
     return F.split(F.regexp_replace(text, r"([.!?:;])\s+", "$1\n"), "\n")
 
 
+def paragraphs(text: Column) -> Column:
+    """The third reading: only blank lines, copyright lines and addresses keep a line end."""
+    lines = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), r"(^|\n)[^\p{L}\p{N}\n]+", "$1")
+    notices = F.regexp_replace(lines, r"(?im)^(copyright\s*(?:\(c\)|[©0-9<\[]).*)$", "\n$1\n")
+    return F.regexp_replace(F.regexp_replace(notices, r"(?<!\n)\n(?!\n)", " "), r"\s(?=https?://)", "\n")
+
+
 def _matches(ids: Column, wanted: tuple[str, ...]) -> Column:
     """Whether the wanted identifiers occur in this order: a fold that steps on when the next one is met."""
     order = F.array(*[F.lit(w) for w in wanted])
@@ -107,7 +117,8 @@ def matched_rules(text: Column) -> Column:
 
     longer = F.create_map(*[x for r, _, s in RULES for x in (F.lit(r), F.array(
         *[F.lit(o) for o, _, t in RULES if o != r and set(s) < set(t)]).cast("array<string>"))])
-    both = F.array_distinct(F.concat(rules(text), rules(F.regexp_replace(text, "\n", " "))))
+    both = F.array_distinct(F.concat(
+        rules(text), rules(F.regexp_replace(text, "\n", " ")), rules(paragraphs(text))))
     longest = let(both, lambda m: F.filter(m, lambda r: ~F.arrays_overlap(F.element_at(longer, r), m)))
     return F.when(text.rlike(HINT), longest).otherwise(F.array().cast("array<string>"))
 
