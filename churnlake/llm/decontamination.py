@@ -2,7 +2,7 @@
 
 Words are lower-cased runs of characters that are not white space. A window of a document has as many words as a benchmark
 item; its fingerprint is a 60-bit SimHash in which every word occurrence has a vote. Fingerprints of windows and items
-of one size are matched by multi-index Hamming blocks: 60 bits in 12 blocks of 5, so that two fingerprints at most 11
+of one size are matched by multi-index Hamming blocks: 60 bits in 20 blocks of 3, so that two fingerprints at most 19
 bits apart agree in at least one block, and an equality join on (size, block number, block value) finds every such
 pair. Each pair is then verified: the weighted Jaccard similarity of their five-word shingles, counted as often as they
 occur, must reach 0.8.
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from churnlake.llm.common import BROADCAST_ROWS, SHINGLE, let, lookup_join, staged, words_of
 
-RADIUS = 11
-BLOCKS, BLOCK_BITS = 12, 5
+RADIUS = 19
+BLOCKS, BLOCK_BITS = 20, 3
 SIMILARITY_PERCENT = 80
 BENCHMARK_ROWS = 2_000_000
 
