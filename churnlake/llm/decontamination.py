@@ -7,19 +7,21 @@ bits apart agree in at least one block, and an equality join on (size, block num
 pair. Each pair is then verified: the weighted Jaccard similarity of their five-word shingles, counted as often as they
 occur, must reach 0.8.
 
-Which windows are fingerprinted: those aligned so that some five-word shingle of the document stands where an item of
-that size has it. A window without any common shingle has similarity 0 with every item, so none is lost that the
-verification would accept, and the rest of the corpus never leaves the scan. Shingles are compared as 64-bit hashes in
-a join with the benchmark's shingles. That table, whose rows are counted, is broadcast up to ``BENCHMARK_ROWS``; a larger
-one is joined by shuffling.
+Which windows are fingerprinted: all that hold enough shingles of items of that size, wherever they stand. A window and
+an item of m shingles each have similarity 0.8 only if 8/9 of m are common; for a window cut by an end of the document it
+is 0.8 of m at least. Windows with fewer shingles of any item of the size are refused without a fingerprint, so none is
+lost here that the verification would accept, and the rest of the corpus never leaves the scan. Shingles are compared as
+64-bit hashes in a join with the benchmark's shingles. That table, whose rows are counted, is broadcast up to
+``BENCHMARK_ROWS``; a larger one is joined by shuffling.
 
-All of it is column expressions and joins. Texts that contain an alignment are read again for their words, by the MD5
-of the text, so that copies of a text share their alignments.
+All of it is column expressions and joins. Texts that contain such a shingle are read again for their words, by the MD5
+of the text, so that copies of a text share their places.
 
 Defined results: null and empty texts match nothing; items of fewer than five words have no shingle and match nothing;
-null item ids stay null; a document that is shorter than the window, or a window that would reach over the end, is compared
-with the words that are there; repeated rows of one id and text give one result for each item; ties go to
-the earliest window; empty tables give an empty result.
+null item ids stay null; a document that is shorter than the window, or a window that would reach over an end, is compared
+with the words that are there; repeated rows of one id and text give one result for each item; of equally similar
+windows those go first that have a shingle at the place where an item has it (moved inwards from the document's ends), then
+the nearest fingerprint, then the earliest; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -81,15 +83,33 @@ def prepared_items(items: DataFrame, id_col: str = "item_id", text_col: str = "t
                    fingerprint(F.col("words")).alias("item_print")).where(F.size("item_shingles") > 0), "bench-items")
 
 
-def alignments(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
-    """key (MD5 of a text), size and first word of every window that has a shingle where an item has it."""
+def places(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
+    """key (MD5 of a text), size, sorted places of shingles of items of that size, and the windows that have one where an item has it."""
     wanted = items.select("size", F.posexplode("item_shingles").alias("offset", "wanted")).distinct()
     found = docs.select(
         F.md5(F.col(f"`{text_col}`")).alias("key"), F.posexplode(let(_words(text_col), shingle_hashes)).alias("at", "hash"))
     if wanted.limit(BENCHMARK_ROWS + 1).count() <= BENCHMARK_ROWS:
         wanted = F.broadcast(wanted)
     met = found.join(wanted, F.col("hash") == F.col("wanted"))
-    return met.select("key", "size", (F.col("at") - F.col("offset")).alias("start")).distinct()
+    each = met.groupBy("key", "size").agg(
+        F.array_sort(F.collect_set("at")).alias("hits"), F.collect_set(F.col("at") - F.col("offset")).alias("aligned"))
+    return each.where(F.size("hits") >= _at_least(F.col("size"), 4, 5))
+
+
+def _at_least(size: Column, part: int, of: int) -> Column:
+    """The share ``part / of`` of a window's shingles, rounded up."""
+    shingles = size - (SHINGLE - 1)
+    return F.floor((part * shingles + of - 1) / of).cast("int")
+
+
+def starts(hits: Column, size: Column, need: Column) -> Column:
+    """First words of all windows that hold ``need`` hits; they may reach over the ends of the document."""
+    def span(i: Column) -> Column:
+        first, last = F.get(hits, i), F.get(hits, i + need - 1)
+        earliest = last - size + SHINGLE
+        return F.when(earliest <= first, F.sequence(earliest, F.greatest(earliest, first))).otherwise(F.array().cast("array<int>"))
+    spans = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(hits) - need)), span)
+    return F.when(F.size(hits) >= need, F.array_distinct(F.flatten(spans))).otherwise(F.array().cast("array<int>"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -98,24 +118,34 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     if radius >= BLOCKS:
         raise ValueError(f"{BLOCKS} blocks guarantee a radius of {BLOCKS - 1} at most")
     bench = prepared_items(items)
-    places = staged(
-        alignments(docs, bench, text_col).groupBy("key").agg(F.collect_list(F.struct("size", "start")).alias("places"))
+    found = staged(
+        places(docs, bench, text_col).groupBy("key").agg(F.collect_list(F.struct("size", "hits", "aligned")).alias("places"))
         .select(F.col("key").alias("of"), "places"), "bench-places")
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.md5(F.col(f"`{text_col}`")).alias("key"),
                         F.col(f"`{text_col}`").alias("text"))
-    here = lookup_join(texts, places, F.col("key") == F.col("of"), "inner").drop("of")
+    here = lookup_join(texts, found, F.col("key") == F.col("of"), "inner").drop("of")
 
     def windows(words: Column, at: Column) -> Column:
-        def window(p: Column) -> Column:
-            first = F.greatest(F.lit(0), F.least(p["start"], F.size(words) - p["size"]))
-            return F.struct(p["size"].alias("size"), first.alias("start"), F.slice(words, first + 1, p["size"]).alias("words"))
-        return F.array_distinct(F.transform(at, window))
+        def of_size(p: Column) -> Column:
+            room = F.size(words) - p["size"]
+            inside = F.filter(starts(p["hits"], p["size"], _at_least(p["size"], 8, 9)), lambda s: (s >= 0) & (s <= room))
+            over = F.filter(starts(p["hits"], p["size"], _at_least(p["size"], 4, 5)), lambda s: (room < 0) & ((s < 0) | (s > room)))
+            aligned = F.transform(p["aligned"], lambda s: F.greatest(F.lit(0), F.least(s, room)))
+
+            def window(s: Column) -> Column:
+                first = F.greatest(F.lit(0), s)
+                held = F.slice(words, first + 1, F.least(F.size(words), s + p["size"]) - first)
+                whole = (s >= 0) & (s <= room) | (room <= 0) & (F.size(held) == F.size(words))
+                return F.struct(p["size"].alias("size"), first.alias("start"), (whole & F.array_contains(aligned, first)).alias("aligned"),
+                                held.alias("words"))
+            return F.transform(F.concat(inside, over), window)
+        return F.array_distinct(F.flatten(F.transform(at, of_size)))
 
     cut = here.select("id", "key", F.explode(let(
         F.struct(words_of(F.lower("text")).alias("w"), F.col("places").alias("p")), lambda r: windows(r["w"], r["p"])))
         .alias("x"))
     printed = cut.select(
-        "id", "key", "x.size", "x.start", shingle_hashes(F.col("x.words")).alias("shingles"),
+        "id", "key", "x.size", "x.start", "x.aligned", shingle_hashes(F.col("x.words")).alias("shingles"),
         fingerprint(F.col("x.words")).alias("print"))
     left = printed.withColumn("b", F.explode(blocks(F.col("print")))).select("*", "b.block", "b.value").drop("b")
     right = bench.withColumn("b", F.explode(blocks(F.col("item_print")))).select(
@@ -130,7 +160,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     total = F.size("shingles") + F.size("item_shingles") - F.col("common")
     similar = close.withColumn("total", total).where(100 * F.col("common") >= SIMILARITY_PERCENT * F.col("total"))
     best = similar.groupBy("id", "key", "item_id").agg(F.max(F.struct(
-        (F.col("common") / F.col("total")).alias("similarity"), (-F.col("hamming")).alias("near"),
+        (F.col("common") / F.col("total")).alias("similarity"), F.col("aligned"), (-F.col("hamming")).alias("near"),
         (-F.col("start")).alias("early"), "size")).alias("b"))
     return best.select(
         F.col("id").alias(id_col), "key", "item_id", (-F.col("b.early")).alias("start"), F.col("b.size").alias("n_words"),
