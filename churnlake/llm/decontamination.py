@@ -129,7 +129,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         def of_size(p: Column) -> Column:
             room = F.size(words) - p["size"]
             inside = F.filter(starts(p["hits"], p["size"], _at_least(p["size"], 8, 9)), lambda s: (s >= 0) & (s <= room))
-            over = F.filter(starts(p["hits"], p["size"], _at_least(p["size"], 4, 5)), lambda s: (room < 0) & ((s < 0) | (s > room)))
+            over = F.filter(starts(p["hits"], p["size"], _at_least(p["size"], 4, 5)), lambda s: (s < 0) | (s > room))
             aligned = F.transform(p["aligned"], lambda s: F.greatest(F.lit(0), F.least(s, room)))
 
             def window(s: Column) -> Column:

@@ -58,7 +58,7 @@ def leaks(spark):
     return brute(docs, items), {(r.doc_id, r.item_id) for r in found.collect()}
 
 
-@pytest.mark.parametrize("kind", ["edge", "word", "moved", "short", "none"])
+@pytest.mark.parametrize("kind", ["edge", "word", "moved", "end", "begin", "short", "none"])
 def test_every_similar_window_is_found(leaks, kind):
     expected, found = [{p for p in pairs if p[0].startswith(kind)} for pairs in leaks]
     assert found == expected and bool(expected) == (kind != "none")
