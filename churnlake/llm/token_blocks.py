@@ -19,7 +19,8 @@ from one manifest row per file, plus its position inside the file.
 
 Encoding uses the given tokenizer on the pieces between single spaces: the tokenizer cuts there anyway (a space that
 stands between two other characters always begins a new word for it), so that the ids are those of the whole text,
-and each distinct piece is encoded once and then kept in a table of at most ``CACHE`` pieces per worker.
+and each distinct piece is encoded once and then kept in a table of at most ``CACHE`` pieces per worker. A text that
+contains the text of an added token is encoded whole, and the tokenizer gives that token, as it does for any caller.
 
 Defined results: a null or empty text is the end id alone; null ids come first; repeated ids are all written, ordered
 by a hash of their text; ids must be integers; an empty table writes no file and gives an empty result.
@@ -74,9 +75,11 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
         rules = json.loads(self.tokenizer.to_str())
         cutter = rules["pre_tokenizer"] or {}
+        #: Texts with the text of an added token, such as <|endoftext|>, are not cut.
+        added = [re.escape(t["content"]) for t in rules.get("added_tokens") or []]
+        self.added = re.compile("|".join(added) or r"(?!)")
         #: Whether the tokenizer cuts a text before single spaces; if not, whole texts are its pieces.
         self.cuts = rules["normalizer"] is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", False) \
             and not cutter.get("add_prefix_space", True)
@@ -97,8 +100,9 @@ class PieceEncoder:
         self._keep([known[i] for i in kept], flat, self.sizes[kept], self.uses[kept] // 2)
 
     def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = [p for p in pieces if _PLAIN.fullmatch(p)] if self.cuts else []
-        others = [p for p in pieces if not _PLAIN.fullmatch(p)] if self.cuts else pieces
+        simple = [self.cuts and bool(_PLAIN.fullmatch(p)) and not self.added.search(p) for p in pieces]
+        plain = [p for p, s in zip(pieces, simple) if s]
+        others = [p for p, s in zip(pieces, simple) if not s]
         texts = ["".join(plain[i:i + JOINED]) for i in range(0, len(plain), JOINED)]
         found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         flat = np.concatenate([np.zeros(0, np.uint32), *found])
@@ -165,7 +169,6 @@ def encoded(texts: list[str], path: str, end_id: int = END_ID) -> Iterator[tuple
     held: list[tuple[int, list[str], bool]] = []
     size = 0
     cuts = encoder(path).cuts
-    cut = pieces_of if cuts else lambda text: [text]
 
     def flush():
         ids, sizes = encoder(path).ids([p for _, pieces, _ in held for p in pieces])
@@ -176,9 +179,10 @@ def encoded(texts: list[str], path: str, end_id: int = END_ID) -> Iterator[tuple
             yield row, (np.append(part, np.uint32(end_id)) if last else part), last
 
     for row, text in enumerate(texts):
-        parts = list(segments(text)) if cuts else [text]
+        whole = not cuts or encoder(path).added.search(text)
+        parts = [text] if whole else list(segments(text))
         for k, part in enumerate(parts):
-            held.append((row, cut(part) if part else [], k == len(parts) - 1))
+            held.append((row, ([part] if whole else pieces_of(part)) if part else [], k == len(parts) - 1))
             size += len(part)
             if size >= SEGMENT:
                 yield from flush()
