@@ -96,7 +96,8 @@ def suffix_order(data: np.ndarray) -> np.ndarray:
     """The suffix array: positions in the order of the bytes from there to the end.
 
     Larsson-Sadakane: groups are numbered by their first place; each pass sorts, inside the groups that still have
-    more than one member, by the group of the position ``known`` bytes further on, which doubles what is known.
+    more than one member, by the group of the position ``known`` bytes further on, which doubles what is known. Of
+    suffixes that end before it the shorter goes first, as zeros at the end look like what follows the end.
     """
     n = len(data)
     group, known = (_words8(data), 8) if data.dtype == np.uint8 else (data, 1)
@@ -111,7 +112,7 @@ def suffix_order(data: np.ndarray) -> np.ndarray:
         if not len(open_places):
             return order
         members = order[open_places]
-        further = np.where(members + known < n, rank[np.minimum(members + known, n - 1)], -1)
+        further = np.where(members + known < n, rank[np.minimum(members + known, n - 1)], n - members - known - 1)
         inner = np.lexsort((further, rank[members]))
         members, further = members[inner], further[inner]
         order[open_places] = members
