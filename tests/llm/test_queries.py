@@ -20,7 +20,7 @@ def test_agrees_with_sql(spark, folder, name):
 
 def test_registered():
     assert set(QUERIES) <= set(contract.queries()) and "pipeline" in contract.queries()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def texts(spark, folder):
