@@ -72,8 +72,8 @@ DERIVED_COLUMNS = {
 }
 
 
-def customers_from_orders(spark: SparkSession, directory: str) -> DataFrame:
-    """The raw customer table, derived from ``customer`` and ``orders``.
+def customers_from_orders(spark: SparkSession, directory: str, until: str | None = None) -> DataFrame:
+    """The raw customer table, derived from ``customer`` and ``orders`` (those before the date ``until``, if given).
 
     Order history is reduced to one row per customer before the join, so a customer with very many
     orders is already one row when it is shuffled. Every fiftieth customer appears twice, which gives
@@ -81,7 +81,10 @@ def customers_from_orders(spark: SparkSession, directory: str) -> DataFrame:
     whole cents, which is exact and keeps the aggregation buffer a plain long.
     """
     customer = spark.read.schema(CUSTOMER_COLUMNS).parquet(f"{directory}/customer.parquet")
-    orders = spark.read.schema(ORDER_COLUMNS).parquet(f"{directory}/orders.parquet").selectExpr(
+    made = spark.read.schema(ORDER_COLUMNS).parquet(f"{directory}/orders.parquet")
+    if until is not None:
+        made = made.where(F.col("o_orderdate") < F.lit(until).cast("timestamp_ntz"))
+    orders = made.selectExpr(
         "o_custkey AS k", "CAST(rint(o_totalprice * 100) AS BIGINT) AS cents",
         "year(o_orderdate) * 12 + month(o_orderdate) AS month")
     history = orders.groupBy("k").agg(
