@@ -30,7 +30,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from churnlake.llm.common import ship_package, staged
@@ -101,33 +103,45 @@ def suffix_order(data: np.ndarray) -> np.ndarray:
     """
     n = len(data)
     group, known = (_words8(data), 8) if data.dtype == np.uint8 else (data, 1)
-    order = np.argsort(group, kind="stable")
-    rank = np.empty(n, dtype=np.int64)
-    keys = group[order]
-    new = np.concatenate([[True], keys[1:] != keys[:-1]])
-    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    order = np.argsort(group).astype(np.int32)
+    rank = np.empty(n, dtype=np.int32)
+    group = group[order]
+    new = np.concatenate([[True], group[1:] != group[:-1]])
+    del group
+    rank[order] = _first_places(new, np.arange(n, dtype=np.int32))
     while True:
         sizes = np.bincount(rank, minlength=n)
-        open_places = np.flatnonzero(sizes[rank[order]] > 1)
+        open_places = np.flatnonzero(sizes[rank[order]] > 1).astype(np.int32)
+        del sizes
         if not len(open_places):
             return order
         members = order[open_places]
-        further = np.where(members + known < n, rank[np.minimum(members + known, n - 1)], n - members - known - 1)
-        inner = np.lexsort((further, rank[members]))
+        further = members + np.int32(known)
+        further = np.where(further < n, rank[np.minimum(further, n - 1)], n - further - 1).astype(np.int64)
+        # one number for both: what follows lies between -2n and n
+        inner = np.argsort(rank[members] * np.int64(4 * n) + (further + 2 * n))
         members, further = members[inner], further[inner]
+        del inner
         order[open_places] = members
         before = rank[members]
         new = np.concatenate([[True], (before[1:] != before[:-1]) | (further[1:] != further[:-1])])
-        rank[members] = np.maximum.accumulate(np.where(new, open_places, 0))
+        del further, before
+        rank[members] = _first_places(new, open_places)
         known *= 2
 
 
+def _first_places(new: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """For each member the place of the first of its group; ``new`` marks the firsts."""
+    return np.maximum.accumulate(np.where(new, places, np.int32(0)))
+
+
 def _words8(data: np.ndarray) -> np.ndarray:
     """The eight bytes from every position on as one number that compares like them; zeros follow the end."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     out = np.zeros(len(data), dtype=np.uint64)
     for k in range(8):
-        out = (out << np.uint64(8)) | padded[k:k + len(data)].astype(np.uint64)
+        out <<= np.uint64(8)
+        out |= padded[k:k + len(data)]
     return out
 
 
@@ -140,9 +154,9 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
     n = len(data)
     wide = 8 if data.dtype == np.uint8 else 1  # symbols in a comparison
     words = np.concatenate([_words8(data) if wide == 8 else data.astype(np.uint64), np.zeros(depth + 8, np.uint64)])
-    place = np.empty(n, dtype=np.int64)
-    place[order] = np.arange(n)
-    out = np.zeros(n, dtype=np.int64)
+    place = np.empty(n, dtype=np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
+    out = np.zeros(n, dtype=np.int32)
     stretch = -(-n // LANES)
     lanes = np.arange(0, n, stretch)
     have = np.zeros(len(lanes), dtype=np.int64)
@@ -151,15 +165,16 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
         use = i < n
         i, h = i[use], np.maximum(have[use] - 1, 0)
         p = place[i]
-        j = np.where(p > 0, order[np.maximum(p - 1, 0)], n)
+        j = np.where(p > 0, order[np.maximum(p - 1, 0)], n).astype(np.int64)
         h[p == 0] = 0
         run = np.flatnonzero(p > 0)
         while len(run):
             a, b = i[run] + h[run], j[run] + h[run]
             apart = words[a] ^ words[b]
-            equal = np.zeros(len(run), dtype=np.int64)
-            for bits in range(0, 8 * wide, 8):
-                equal += (apart >> np.uint64(bits)) == 0
+            if wide == 8:  # bytes above the highest bit that differs; without the bit below it no rounding passes it
+                equal = 8 - (np.frexp((apart & ~(apart >> np.uint64(1))).astype(np.float64))[1].astype(np.int64) + 7) // 8
+            else:
+                equal = (apart == 0).astype(np.int64)
             room = np.minimum(n - np.maximum(a, b), depth - h[run])
             h[run] += np.minimum(equal, room)
             run = run[(equal == wide) & (room > wide)]
@@ -230,24 +245,35 @@ def spans(docs: DataFrame, text: Column, shard_bytes: int = SHARD_BYTES, split_u
     count = edge.count()
     if not count:
         return covered
-    by_text = edge.groupBy("k1", "k2").agg(F.collect_list(F.struct("spot", "g", "open", "splits", "part")).alias("e"))
+    names = ["spot", "g", "open", "splits", "part"]
+    by_text = edge.groupBy("k1", "k2").agg(F.collect_list(F.struct(*names)).alias("e")).select(
+        "k1", "k2", *[F.col(f"e.{c}").alias(c) for c in names])
     involved = docs.where(F.octet_length(text) >= WINDOW).select(*_key(text), text.alias("text"))
     keys = edge.select(F.col("k1").alias("a"), F.col("k2").alias("b")).distinct()
     involved = involved.join(keys, (F.col("k1") == F.col("a")) & (F.col("k2") == F.col("b")), "left_semi")
     involved = involved.groupBy(F.col("k1").alias("a"), F.col("k2").alias("b")).agg(F.first("text").alias("text"))
     shards = max(1, -(-count * (WINDOW + RUNS // 2) // shard_bytes))
-    cut = by_text.join(involved, (F.col("k1") == F.col("a")) & (F.col("k2") == F.col("b"))).select("k1", "k2", "e", "text")
+    cut = by_text.join(involved, (F.col("k1") == F.col("a")) & (F.col("k2") == F.col("b"))).select("k1", "k2", *names, "text")
 
-    def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k1, k2, entries, text_ in zip(batch["k1"], batch["k2"], batch["e"], batch["text"]):
-                data = text_.encode("utf-8", "surrogatepass")
-                out = [(k1, k2, e["spot"], e["g"], e["open"], e["splits"], e["part"],
-                        data[e["spot"] >> 16:(e["spot"] >> 16) + (e["spot"] >> 8 & 255) + WINDOW]) for e in entries]
-                yield pd.DataFrame(out, columns=["k1", "k2", "spot", "g", "open", "splits", "part", "data"])
+            counts = np.diff(batch.column("spot").offsets.to_numpy())
+            spots = batch.column("spot").flatten()
+            spot = spots.to_numpy()
+            begin, at, out = spot >> 16, 0, []
+            end = begin + (spot >> 8 & 255) + WINDOW
+            for text_, n in zip(batch.column("text"), counts.tolist()):
+                data = text_.as_py().encode("utf-8", "surrogatepass")
+                out += [data[a:b] for a, b in zip(begin[at:at + n].tolist(), end[at:at + n].tolist())]
+                at += n
+            row = pa.array(np.repeat(np.arange(len(counts)), counts))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("k1").take(row), batch.column("k2").take(row), spots,
+                 *[batch.column(c).flatten() for c in names[1:]], pa.array(out, pa.binary())],
+                names=["k1", "k2", *names, "data"])
 
     with small_batches(docs.sparkSession):
-        bytes_ = staged(cut.mapInPandas(
+        bytes_ = staged(cut.mapInArrow(
             slices, "k1 long, k2 long, spot long, g long, open boolean, splits long, part long, data binary"), "suffix-bytes")
     shard = F.pmod(F.xxhash64("g", "part"), F.lit(shards))
     judged = staged(bytes_.withColumn("shard", shard).groupBy("shard").applyInPandas(
@@ -255,8 +281,10 @@ def spans(docs: DataFrame, text: Column, shard_bytes: int = SHARD_BYTES, split_u
     inside = judged.where("kind = 0").select("k1", "k2", "begin", (F.col("last") + WINDOW).alias("end"))
     foreign = judged.where("kind = 1")
     if foreign.limit(1).count():
-        bucket = F.pmod("print", F.lit(shards))
-        merged = foreign.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(_merge_shards, "k1 long, k2 long, begin long")
+        # a shard's copies of a window are one row, so that a window in very many texts has as many rows as there are shards
+        prints = foreign.select("print", "shard").distinct().withColumn("bucket", F.pmod("print", F.lit(shards)))
+        both = staged(prints.groupBy("bucket").applyInPandas(_merge_shards, "shared long"), "suffix-merged")
+        merged = foreign.where("open").join(both, F.col("print") == F.col("shared"), "left_semi")
         inside = inside.unionByName(merged.select("k1", "k2", "begin", (F.col("begin") + WINDOW).alias("end")))
     return covered.unionByName(inside)
 
@@ -284,20 +312,18 @@ def _judge_shard(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _merge_shards(rows: pd.DataFrame) -> pd.DataFrame:
-    """Open windows that another shard holds too: the shards' sorted windows are searched for each other's."""
+    """Windows (by hash) that several shards hold: each shard's sorted windows are sought in those of the shards before it."""
     found = []
-    each = {s: part for s, part in rows.groupby("shard")}
-    prints = {s: np.sort(part["print"].to_numpy()) for s, part in each.items()}
-    for s, part in each.items():
-        asked = part[part["open"]]
-        wanted = asked["print"].to_numpy()
-        seen = np.zeros(len(wanted), dtype=bool)
-        for other, there in prints.items():
-            if other != s:
-                at = np.minimum(np.searchsorted(there, wanted), len(there) - 1)
-                seen |= there[at] == wanted
-        found.append(asked.loc[seen, ["k1", "k2", "begin"]])
-    return pd.concat(found) if found else rows[["k1", "k2", "begin"]].iloc[:0]
+    before = np.zeros(0, dtype=np.int64)
+    for _, part in rows.groupby("shard"):
+        own = np.sort(part["print"].to_numpy())
+        if len(before):
+            at = np.minimum(np.searchsorted(before, own), len(before) - 1)
+            seen = before[at] == own
+            found.append(own[seen])
+            own = own[~seen]
+        before = np.insert(before, np.searchsorted(before, own), own)
+    return pd.DataFrame({"shared": np.unique(np.concatenate(found)) if found else before[:0]})
 
 
 def cut_spans(data: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[int, int, bytes]:
@@ -315,14 +341,23 @@ def cut_spans(data: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[int, i
     return int((stops - starts).sum()), len(starts), b"".join(left)
 
 
+def _merged_spans(ranges: DataFrame) -> DataFrame:
+    """a, b (text), and begin, end: the maximal runs of each text, however many ranges overlap in them."""
+    text = W.partitionBy("k1", "k2").orderBy("begin", "end")
+    reach = F.max("end").over(text.rowsBetween(W.unboundedPreceding, -1))
+    runs = ranges.withColumn("new", F.when(F.col("begin") <= reach, 0).otherwise(1))
+    runs = runs.withColumn("run", F.sum("new").over(text.rowsBetween(W.unboundedPreceding, 0)))
+    runs = runs.groupBy("k1", "k2", "run").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    return runs.groupBy(F.col("k1").alias("a"), F.col("k2").alias("b")).agg(F.collect_list(F.struct("begin", "end")).alias("s")).select(
+        "a", "b", "s.begin", "s.end")
+
+
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, **settings) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256 of every document; with ``with_text`` the remaining text, where bytes
     that are no longer valid UTF-8 become U+FFFD."""
     ship_package(docs.sparkSession)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    ranges = spans(docs, text, **settings)
-    by_text = staged(ranges.groupBy(F.col("k1").alias("a"), F.col("k2").alias("b")).agg(
-        F.collect_set(F.struct("begin", "end")).alias("s")).select("a", "b", "s.begin", "s.end"), "suffix-spans")
+    by_text = staged(_merged_spans(spans(docs, text, **settings)), "suffix-spans")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), *_key(text), text.alias("text"))
     joined = rows.join(by_text, (F.col("k1") == F.col("a")) & (F.col("k2") == F.col("b")), "left").select("id", "text", "begin", "end")
     kind = docs.select(F.col(f"`{id_col}`").alias("id")).schema[0].dataType.simpleString()
