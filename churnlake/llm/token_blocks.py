@@ -19,7 +19,7 @@ from one manifest row per file, plus its position inside the file.
 
 Encoding uses the given tokenizer on the pieces between single spaces: the tokenizer cuts there anyway (a space that
 stands between two other characters always begins a new word for it), so that the ids are those of the whole text,
-and each distinct piece is encoded once and then kept in a table of at most ``CACHE`` pieces per worker. A text that
+and each distinct piece is encoded once and then kept, in tables of about ``CACHE`` pieces per worker. A text that
 contains the text of an added token is encoded whole, and the tokenizer gives that token, as it does for any caller.
 
 Defined results: a null or empty text is the end id alone; null ids come first; repeated ids are all written, ordered
@@ -66,7 +66,8 @@ _MARK = "\U0010fffe"
 class PieceEncoder:
     """Ids of texts, from a tokenizer that is asked only for pieces not met before.
 
-    When the table of known pieces is full, those used most often stay. New pieces are encoded many in one call, as a text
+    Known pieces are in tables of two ages. When the younger one is full it becomes the older one, and the older one goes; a piece that
+    is met again moves to the younger table, so that pieces in use stay. New pieces are encoded many in one call, as a text
     that is cut again where a token begins with a space.
     """
 
@@ -78,66 +79,50 @@ class PieceEncoder:
         rules = json.loads(self.tokenizer.to_str())
         cutter = rules["pre_tokenizer"] or {}
         #: Texts with the text of an added token, such as <|endoftext|>, are not cut.
-        added = [re.escape(t["content"]) for t in rules.get("added_tokens") or []]
-        self.added = re.compile("|".join(added) or r"(?!)")
+        self.added = [t["content"] for t in rules.get("added_tokens") or []]
         #: Whether the tokenizer cuts a text before single spaces; if not, whole texts are its pieces.
         self.cuts = rules["normalizer"] is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", False) \
             and not cutter.get("add_prefix_space", True)
         size = self.tokenizer.get_vocab_size()
         self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
-        self._keep([], np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-    def _keep(self, pieces: list[str], flat: np.ndarray, sizes: np.ndarray, uses: np.ndarray) -> None:
-        self.codes = dict(zip(pieces, range(len(pieces))))
-        self.flat, self.sizes, self.uses = flat, sizes, uses
-        self.starts = np.cumsum(sizes) - sizes
-
-    def _forget(self) -> None:
-        """Keep the more used half, and of the rest nothing."""
-        kept = np.sort(np.argsort(-self.uses, kind="stable")[:CACHE // 2])
-        known = list(self.codes)
-        flat = self.flat[_ragged(self.starts[kept], self.sizes[kept])]
-        self._keep([known[i] for i in kept], flat, self.sizes[kept], self.uses[kept] // 2)
-
-    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        simple = [self.cuts and bool(_PLAIN.fullmatch(p)) and not self.added.search(p) for p in pieces]
-        plain = [p for p, s in zip(pieces, simple) if s]
-        others = [p for p, s in zip(pieces, simple) if not s]
-        texts = ["".join(plain[i:i + JOINED]) for i in range(0, len(plain), JOINED)]
-        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        flat = np.concatenate([np.zeros(0, np.uint32), *found])
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces, as little-endian 32-bit integers."""
+        out: list[bytes] = [b""] * len(pieces)
+        plain = [i for i, p in enumerate(pieces) if self.cuts and _PLAIN.fullmatch(p)]
+        texts = ["".join([pieces[i] for i in plain[k:k + JOINED]]) for k in range(0, len(plain), JOINED)]
+        found = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate([np.zeros(0, "<u4"), *found])
         begins = np.flatnonzero(self.spaced[flat])
         if len(begins) != len(plain):
             raise ValueError("the tokenizer does not cut before single spaces")
-        sizes = np.diff(np.append(begins, len(flat)))
-        rest = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
-        pieces[:] = plain + others
-        return (np.concatenate([flat, np.array([x for ids in rest for x in ids], np.uint32)]),
-                np.concatenate([sizes, np.array([len(ids) for ids in rest], np.int64)]))
-
-    def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in order, and the number of ids of each piece."""
-        codes = list(map(self.codes.get, pieces))
-        if None in codes:
-            if len(self.codes) > CACHE:
-                self._forget()
-            new = list(dict.fromkeys(p for p in pieces if p not in self.codes))
-            flat, sizes = self._encode(new)
-            self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
-            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-            self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
-            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
-            codes = list(map(self.codes.__getitem__, pieces))
-        codes = np.array(codes, np.int64)
-        self.uses += np.bincount(codes, minlength=len(self.uses))
-        sizes = self.sizes[codes]
-        return self.flat[_ragged(self.starts[codes], sizes)], sizes
-
-
-def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """start, start + 1, ... of every run, one after the other."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+        data, bounds = flat.tobytes(), (np.append(begins, len(flat)) * 4).tolist()
+        for i, a, b in zip(plain, bounds[:-1], bounds[1:]):
+            out[i] = data[a:b]
+        if len(plain) < len(pieces):
+            taken = set(plain)
+            others = [i for i in range(len(pieces)) if i not in taken]
+            for i, e in zip(others, self.tokenizer.encode_batch_fast([pieces[i] for i in others], add_special_tokens=False)):
+                out[i] = np.array(e.ids, "<u4").tobytes()
+        return out
+
+    def ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of every piece, as little-endian 32-bit integers."""
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
+        found = list(map(self.young.get, pieces))
+        lost = [i for i, ids in enumerate(found) if ids is None]
+        if lost:
+            new = {pieces[i] for i in lost}
+            again = [p for p in new if p in self.old]
+            self.young.update(zip(again, map(self.old.__getitem__, again)))
+            unknown = list(new.difference(again))
+            self.young.update(zip(unknown, self._encode(unknown)))
+            for i in lost:
+                found[i] = self.young[pieces[i]]
+        return found
 
 
 @functools.cache
@@ -148,7 +133,7 @@ def encoder(path: str) -> PieceEncoder:
 def pieces_of(text: str) -> list[str]:
     """The text cut before every single space that stands between two characters that are not white space."""
     if _MARK in text or _UNSAFE.search(text):
-        return _SAFE_CUT.split(text)
+        return [p for p in _SAFE_CUT.split(text) if p]
     return [p for p in text.replace(" ", _MARK + " ").split(_MARK) if p]
 
 
@@ -166,27 +151,30 @@ def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
 
 def encoded(texts: list[str], path: str, end_id: int = END_ID) -> Iterator[tuple[int, np.ndarray, bool]]:
     """(row, ids, whether they end the row's text), in order; groups of rows share a call, long texts come in parts."""
-    held: list[tuple[int, list[str], bool]] = []
+    held: list[tuple[int, int, bool]] = []
+    pieces: list[str] = []
     size = 0
-    cuts = encoder(path).cuts
+    rules = encoder(path)
+    end = np.array([end_id], "<u4").tobytes()
 
     def flush():
-        ids, sizes = encoder(path).ids([p for _, pieces, _ in held for p in pieces])
-        ends = np.cumsum([0, *[len(pieces) for _, pieces, _ in held]])
-        bounds = np.concatenate([[0], np.cumsum(sizes)])[ends]
-        for (row, _, last), a, b in zip(held, bounds[:-1], bounds[1:]):
-            part = ids[a:b]
-            yield row, (np.append(part, np.uint32(end_id)) if last else part), last
+        ids, at = rules.ids(pieces), 0
+        for row, count, last in held:
+            data = b"".join(ids[at:at + count])
+            at += count
+            yield row, np.frombuffer(data + end if last else data, "<u4"), last
 
     for row, text in enumerate(texts):
-        whole = not cuts or encoder(path).added.search(text)
+        whole = not rules.cuts or any(added in text for added in rules.added)
         parts = [text] if whole else list(segments(text))
         for k, part in enumerate(parts):
-            held.append((row, ([part] if whole else pieces_of(part)) if part else [], k == len(parts) - 1))
+            cut = ([part] if part else []) if whole else pieces_of(part)
+            held.append((row, len(cut), k == len(parts) - 1))
+            pieces += cut
             size += len(part)
             if size >= SEGMENT:
                 yield from flush()
-                held, size = [], 0
+                held, pieces, size = [], [], 0
     if held:
         yield from flush()
 

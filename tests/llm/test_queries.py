@@ -31,7 +31,6 @@ def test_token_blocks(spark, folder):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file())
-    tokenizer.encode_special_tokens = True
     expected, start = [], 0
     for doc_id, text in sorted(texts(spark, folder).items()):
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
