@@ -86,6 +86,7 @@ def _(t: Tables):
 # ---- fitted models: rows-only, checked by property tests ----
 
 FAST_MODELS = ("Logistic Regression", "Decision Tree")
+TREE_MODELS = ("Decision Tree", "Random Forest", "Gradient Boosting")
 
 
 class Prepared:
@@ -153,13 +154,15 @@ def _(t: Tables):
 @query("ml_7_final_fit", staged=True)
 def _(t: Tables):
     ready = Prepared(t)
-    return ready.test_metrics({n: ready.fit(n) for n in FAST_MODELS})
+    return ready.test_metrics({n: ready.fit(n) for n in models.MODEL_NAMES})
 
 
 @query("ml_8_feature_importances", staged=True)
 def _(t: Tables):
+    """Importances of every tree model."""
     ready = Prepared(t)
-    return models.feature_importances(t.spark, ready.fit("Decision Tree"), ready.names)
+    tables = [models.feature_importances(t.spark, ready.fit(n), ready.names).withColumn("model", F.lit(n)) for n in TREE_MODELS]
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query("ml_9_tree_rules", staged=True)
@@ -197,7 +200,7 @@ def _(t: Tables):
 def _(t: Tables):
     ready = Prepared(t)
     path = scratch_path(t.spark, "models")
-    fitted = {n: ready.fit(n) for n in FAST_MODELS}
+    fitted = {n: ready.fit(n) for n in models.MODEL_NAMES}
     for name, model in fitted.items():
         models.save(model, f"{path}/{name.lower().replace(' ', '_')}")
     sinks.write_table(evaluation.selection_score(ready.test_metrics(fitted)), f"{path}/comparison")
@@ -207,7 +210,7 @@ def _(t: Tables):
 @query("evl_8_comparison_report", staged=True)
 def _(t: Tables):
     ready = Prepared(t)
-    test = ready.test_metrics({n: ready.fit(n) for n in FAST_MODELS})
+    test = ready.test_metrics({n: ready.fit(n) for n in models.MODEL_NAMES})
     return evaluation.comparison_report(test, _cross_validation(t, ready))
 
 

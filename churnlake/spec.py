@@ -78,6 +78,7 @@ OUT_OF_RANGE_LABEL = "nan"
 # Risk tiers, highest first.
 TIERS = ("High Risk", "Medium Risk", "Low Risk")
 
+# Decision threshold, tier cut-offs, expected lifetime.
 THRESHOLD = 0.40
 HIGH_CUTOFF = 0.70
 MEDIUM_CUTOFF = 0.40

@@ -7,7 +7,7 @@ import __spark_entry__ as contract
 from churnlake.catalog import ORACLES, QUERIES
 
 FITTED = sorted(set(QUERIES) - set(ORACLES))
-SLOW = {"ml_4_random_forest", "ml_5_gradient_boosting", "evl_8_comparison_report", "snk_5_models_and_report"}
+SLOW = {"ml_4_random_forest", "ml_5_gradient_boosting", "evl_8_comparison_report", "snk_5_models_and_report", "ml_7_final_fit"}
 
 
 @pytest.fixture(scope="module")
