@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import let
+from churnlake.llm.common import as_row, let
 
 SHARDS = 64
 TABLE_SIZE = 6553
@@ -92,15 +92,21 @@ def lookup_table(shards: DataFrame, size: int = TABLE_SIZE) -> DataFrame:
 
 def place(df: DataFrame, key: str, shards: DataFrame, size: int = TABLE_SIZE, slot: str = "slot",
           shard: str = "shard") -> DataFrame:
-    """``df`` with the slot of its key and the shard that holds that slot."""
+    """``df`` with the slot of its key and the shard that holds that slot.
+
+    All columns of ``df`` stay as they are; where one of them has the name of a new column, the new one gets ``_`` behind it.
+    """
     if shards.limit(1).count() == 0:
         raise ValueError("there must be a shard")
-    table = lookup_table(shards, size).select(F.col("slot").alias("__slot"), F.col("shard").alias("__shard"))
+    names = []
+    for name in (slot, shard):
+        while name in (*df.columns, *names):
+            name += "_"
+        names.append(name)
     text = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
-    own = [F.col(f"`{c}`") for c in df.columns if c not in (slot, shard)]
-    keyed = df.select(*own, (hashed(text) % size).alias("__key"))
-    joined = keyed.join(F.broadcast(table), F.col("__key") == F.col("__slot"), "left")  # size rows, a parameter
-    return joined.select(*own, F.col("__slot").alias(slot), F.col("__shard").alias(shard))
+    keyed = df.select(as_row(df).alias("row"), (hashed(text) % size).alias("place"))
+    joined = keyed.join(F.broadcast(lookup_table(shards, size)), F.col("place") == F.col("slot"), "left")  # size rows, a parameter
+    return joined.select("row.*", F.col("slot").alias(names[0]), F.col("shard").alias(names[1]))
 
 
 def named_shards(spark: SparkSession, count: int = SHARDS) -> DataFrame:
