@@ -82,10 +82,14 @@ RULES = (
 HINT = r"(?i)licen[cs]|permission|copyright|redistribut|rights|warrant|free software"
 
 
+#: Stands for a dot between digits while other signs become spaces.
+DOT = "\uE000"
+
+
 def normalised(sentence: Column) -> Column:
     """Lower case; a dot stays only between digits; every other run that is not a letter or digit is one space."""
-    lower = F.regexp_replace(F.lower(sentence), r"([0-9])\.([0-9])", "$1_$2")
-    return F.btrim(F.replace(F.regexp_replace(lower, r"[^\p{L}\p{N}_]+", F.lit(" ")), F.lit("_"), F.lit(".")))
+    lower = F.regexp_replace(F.replace(F.lower(sentence), F.lit(DOT), F.lit(" ")), r"([0-9])\.([0-9])", f"$1{DOT}$2")
+    return F.btrim(F.replace(F.regexp_replace(lower, r"[^\p{L}\p{N}" + DOT + "]+", F.lit(" ")), F.lit(DOT), F.lit(".")))
 
 
 def sentences(text: Column) -> Column:

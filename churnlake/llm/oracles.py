@@ -156,7 +156,8 @@ known(sentence_id, sentence) AS (VALUES {', '.join(f"('{k}', '{v}')" for k, v in
 ids AS (
   SELECT rid, doc_id, reading, '|' || string_agg(sentence_id, '||' ORDER BY pos) || '|' AS ids
   FROM parts JOIN known ON sentence = replace(trim(regexp_replace(
-    regexp_replace(lower(raw), '([0-9])\.([0-9])', '\1_\2', 'g'), '[^\p{{L}}\p{{N}}_]+', ' ', 'g')), '_', '.')
+    regexp_replace(replace(lower(raw), '{license_scan.DOT}', ' '), '([0-9])\.([0-9])', '\1{license_scan.DOT}\2', 'g'),
+    '[^\p{{L}}\p{{N}}{license_scan.DOT}]+', ' ', 'g')), '{license_scan.DOT}', '.')
   GROUP BY ALL),
 m AS ({_rule_sql()})
 SELECT doc_id, rule, license, n_sentences FROM m
