@@ -4,18 +4,21 @@ Words are lower-cased runs of characters that are not white space. A window of a
 item; its fingerprint is a 60-bit SimHash in which every word occurrence has a vote. Fingerprints of windows and items
 of one size are matched by multi-index Hamming blocks: 60 bits in 20 blocks of 3, so that two fingerprints at most 19
 bits apart agree in at least one block, and an equality join on (size, block number, block value) finds every such
-pair. Each pair is then verified: the weighted Jaccard similarity of their five-word shingles, counted as often as they
-occur, must reach 0.8.
+pair. A pair is emitted in the first block in which it agrees only, and only if it lies within the radius, so the join
+gives each pair once, as two content keys and a distance. Each pair is then verified: the weighted Jaccard similarity of
+their five-word shingles, counted as often as they occur, must reach 0.8.
 
 Which windows are fingerprinted: all that hold enough shingles of items of that size, wherever they stand. A window and
 an item of m shingles each have similarity 0.8 only if 8/9 of m are common; for a window cut by an end of the document it
 is 0.8 of m at least. Windows with fewer shingles of any item of the size are refused without a fingerprint, so none is
 lost here that the verification would accept, and the rest of the corpus never leaves the scan. Shingles are compared as
-64-bit hashes in a join with the benchmark's shingles. That table, whose rows are counted, is broadcast up to
-``BENCHMARK_ROWS``; a larger one is joined by shuffling.
+64-bit hashes in a join with the benchmark's shingles. That table has rows of fixed width, which are counted; it is
+broadcast up to ``BENCHMARK_ROWS`` and joined by shuffling beyond.
 
-All of it is column expressions and joins. Texts that contain such a shingle are read again for their words, by the MD5
-of the text, so that copies of a text share their places.
+All of it is column expressions and joins. Candidate texts are kept once, by MD5. Windows are places (text, size, first
+word) until their words are needed; those are cut from stretches of a text that are as long as the longest item, so that
+no row holds the windows of a whole text. Windows with the same words are fingerprinted and verified once, however often a
+text, or many documents, repeat them. The work is linear in the length of a text.
 
 Defined results: null and empty texts match nothing; items of fewer than five words have no shingle and match nothing;
 null item ids stay null; a document that is shorter than the window, or a window that would reach over an end, is compared
@@ -29,18 +32,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import BROADCAST_ROWS, SHINGLE, let, lookup_join, staged, words_of
+from churnlake.llm.common import BROADCAST_ROWS, SHINGLE, let, staged, words_of
+from churnlake.sources.staging import handed_out
 
 RADIUS = 19
 BLOCKS, BLOCK_BITS = 20, 3
 SIMILARITY_PERCENT = 80
 BENCHMARK_ROWS = 2_000_000
+#: Stretches of a text have at least this many words.
+STRETCH = 64
 
 
 def shingle_hashes(words: Column) -> Column:
     """64-bit hashes of all runs of five words, in order."""
-    hashes = F.transform(F.sequence(F.lit(1), F.size(words) - SHINGLE + 1), lambda i: F.xxhash64(F.slice(words, i, SHINGLE)))
-    return F.when(F.size(words) >= SHINGLE, hashes).otherwise(F.array().cast("array<bigint>"))
+    def runs(h: Column) -> Column:
+        hashes = F.transform(F.sequence(F.lit(0), F.size(h) - SHINGLE), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)]))
+        return F.when(F.size(h) >= SHINGLE, hashes).otherwise(F.array().cast("array<bigint>"))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), runs)
 
 
 def fingerprint(words: Column) -> Column:
@@ -64,34 +73,53 @@ def blocks(print_: Column) -> Column:
         for b in range(BLOCKS)])
 
 
-def _common(a: Column, b: Column) -> Column:
-    """Size of the multiset intersection of two arrays."""
-    def least(x: Column) -> Column:
-        return F.least(F.size(F.filter(a, lambda y: y == x)), F.size(F.filter(b, lambda y: y == x)))
-    return F.aggregate(F.array_distinct(a), F.lit(0), lambda s, x: s + least(x))
+def agrees_first_in(block: Column, a: Column, b: Column) -> Column:
+    """Whether no block before ``block`` is the same in both fingerprints, given that this one is."""
+    apart = a.bitwiseXOR(b)
+    before = F.call_function("shiftleft", F.lit(1).cast("long"), block * BLOCK_BITS) - 1
+    firsts = F.lit(sum(1 << (k * BLOCK_BITS) for k in range(BLOCKS))).bitwiseAND(before)
+    any_bit = apart.bitwiseOR(F.shiftright(apart, 1)).bitwiseOR(F.shiftright(apart, 2))
+    return any_bit.bitwiseAND(firsts) == firsts
+
+
+def told_apart(hashes: Column) -> Column:
+    """The hashes, repeated ones renamed by how often they stood before: multisets as sets."""
+    def renamed(a: Column) -> Column:
+        def nth(x: Column, i: Column) -> Column:
+            return let(i + 1 - F.array_position(a, x), lambda k: F.when(k > 0, F.xxhash64(x, k)).otherwise(x))
+        return F.transform(a, nth)
+
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), hashes).otherwise(let(F.array_sort(hashes), renamed))
 
 
 def _words(text_col: str) -> Column:
     return words_of(F.lower(F.col(f"`{text_col}`")))
 
 
+def _content(words: Column) -> Column:
+    """A key of the words; none of them holds a space."""
+    return F.md5(F.array_join(words, " "))
+
+
 def prepared_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Items with their size, shingles and fingerprint, written once."""
+    """Items with their size, content key, shingles and fingerprint, written once."""
     cut = items.select(F.col(f"`{id_col}`").alias("item_id"), _words(text_col).alias("words"))
     return staged(
-        cut.select("item_id", F.size("words").alias("size"), shingle_hashes(F.col("words")).alias("item_shingles"),
-                   fingerprint(F.col("words")).alias("item_print")).where(F.size("item_shingles") > 0), "bench-items")
+        cut.select("item_id", F.size("words").alias("size"), _content(F.col("words")).alias("item"),
+                   shingle_hashes(F.col("words")).alias("item_shingles"), fingerprint(F.col("words")).alias("item_print"))
+        .where(F.size("item_shingles") > 0), "bench-items")
 
 
 def places(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
-    """key (MD5 of a text), size, sorted places of shingles of items of that size, and the windows that have one where an item has it."""
+    """key (MD5 of a text), n (its words), size, sorted places of shingles of items of that size, and the windows that have
+    one where an item has it."""
     wanted = items.select("size", F.posexplode("item_shingles").alias("offset", "wanted")).distinct()
-    found = docs.select(
-        F.md5(F.col(f"`{text_col}`")).alias("key"), F.posexplode(let(_words(text_col), shingle_hashes)).alias("at", "hash"))
+    hashes = docs.select(F.md5(F.col(f"`{text_col}`")).alias("key"), let(_words(text_col), shingle_hashes).alias("hashes"))
+    found = hashes.select("key", (F.size("hashes") + (SHINGLE - 1)).alias("n"), F.posexplode("hashes").alias("at", "hash"))
     if wanted.limit(BENCHMARK_ROWS + 1).count() <= BENCHMARK_ROWS:
         wanted = F.broadcast(wanted)
     met = found.join(wanted, F.col("hash") == F.col("wanted"))
-    each = met.groupBy("key", "size").agg(
+    each = met.groupBy("key", "n", "size").agg(
         F.array_sort(F.collect_set("at")).alias("hits"), F.collect_set(F.col("at") - F.col("offset")).alias("aligned"))
     return each.where(F.size("hits") >= _at_least(F.col("size"), 4, 5))
 
@@ -112,57 +140,92 @@ def starts(hits: Column, size: Column, need: Column) -> Column:
     return F.when(F.size(hits) >= need, F.array_distinct(F.flatten(spans))).otherwise(F.array().cast("array<int>"))
 
 
+def windows(found: DataFrame) -> DataFrame:
+    """key, size, first, length, aligned: every window of ``places`` that holds enough shingles, once."""
+    size, n = F.col("size"), F.col("n")
+    room = n - size
+
+    def window(s: Column, real: bool) -> Column:
+        first = F.greatest(F.lit(0), s)
+        return F.struct(first.alias("first"), (F.least(n, s + size) - first).alias("length"), F.lit(real).alias("real"))
+
+    inside = F.filter(starts(F.col("hits"), size, _at_least(size, 8, 9)), lambda s: (s >= 0) & (s <= room))
+    over = F.filter(starts(F.col("hits"), size, _at_least(size, 4, 5)), lambda s: (s < 0) | (s > room))
+    moved = F.transform("aligned", lambda s: window(F.greatest(F.lit(0), F.least(s, room)), False))
+    each = found.select("key", "size", F.explode(F.concat(F.transform(F.concat(inside, over), lambda s: window(s, True)), moved)).alias("w"))
+    return each.groupBy("key", "size", "w.first", "w.length").agg(
+        F.bool_or("w.real").alias("real"), F.bool_or(~F.col("w.real")).alias("aligned")).where("real").drop("real")
+
+
+def cut_windows(texts: DataFrame, wanted: DataFrame, longest: int) -> DataFrame:
+    """``wanted`` windows with their ``words``; ``texts`` has one row per key."""
+    step = max(STRETCH, longest)
+
+    def stretches(words: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(words) - 1) / step).cast("int")))
+        return F.transform(numbers, lambda c: F.struct(c.alias("stretch"), F.slice(words, c * step + 1, 2 * step).alias("words")))
+
+    parts = texts.select(F.col("key").alias("of"), F.explode(let(words_of(F.lower("text")), stretches)).alias("p"))
+    parts = parts.select("of", F.col("p.stretch").alias("part"), "p.words")
+    there = wanted.withColumn("stretch", F.floor(F.col("first") / step).cast("int")).groupBy("key", "stretch").agg(
+        F.collect_list(F.struct("size", "first", "length", "aligned")).alias("ws"))
+    met = there.join(parts, (F.col("key") == F.col("of")) & (F.col("stretch") == F.col("part")))
+    each = met.select("key", F.explode(F.transform("ws", lambda w: F.struct(
+        w["size"].alias("size"), w["first"].alias("first"), w["aligned"].alias("aligned"),
+        F.slice("words", w["first"] - F.col("stretch") * step + 1, w["length"]).alias("words")))).alias("w"))
+    return each.select("key", "w.*")
+
+
+def near_pairs(prints: DataFrame, items: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """window, item, hamming: fingerprints of one size within the radius, each pair once. Both sides have one row per content."""
+    left = prints.select("size", "window", "print", F.explode(blocks(F.col("print"))).alias("b")).select(
+        "size", "window", "print", "b.block", "b.value")
+    right = staged(items.select("size", "item", "item_print", F.explode(blocks(F.col("item_print"))).alias("b")).select(
+        F.col("size").alias("item_size"), "item", "item_print", F.col("b.block").alias("item_block"),
+        F.col("b.value").alias("item_value")), "bench-blocks")
+    hamming = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
+    met = left.join(handed_out(right), (F.col("size") == F.col("item_size")) & (F.col("block") == F.col("item_block"))
+                    & (F.col("value") == F.col("item_value")) & (hamming <= radius)
+                    & agrees_first_in(F.col("block"), F.col("print"), F.col("item_print")))
+    return met.select("window", "item", hamming.alias("hamming"))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  radius: int = RADIUS) -> DataFrame:
     """id, key, item_id, start, n_words, hamming, similarity: the best window of every document and item that match."""
     if radius >= BLOCKS:
         raise ValueError(f"{BLOCKS} blocks guarantee a radius of {BLOCKS - 1} at most")
     bench = prepared_items(items)
-    found = staged(
-        places(docs, bench, text_col).groupBy("key").agg(F.collect_list(F.struct("size", "hits", "aligned")).alias("places"))
-        .select(F.col("key").alias("of"), "places"), "bench-places")
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.md5(F.col(f"`{text_col}`")).alias("key"),
-                        F.col(f"`{text_col}`").alias("text"))
-    here = lookup_join(texts, found, F.col("key") == F.col("of"), "inner").drop("of")
-
-    def windows(words: Column, at: Column) -> Column:
-        def of_size(p: Column) -> Column:
-            room = F.size(words) - p["size"]
-            inside = F.filter(starts(p["hits"], p["size"], _at_least(p["size"], 8, 9)), lambda s: (s >= 0) & (s <= room))
-            over = F.filter(starts(p["hits"], p["size"], _at_least(p["size"], 4, 5)), lambda s: (s < 0) | (s > room))
-            aligned = F.transform(p["aligned"], lambda s: F.greatest(F.lit(0), F.least(s, room)))
-
-            def window(s: Column) -> Column:
-                first = F.greatest(F.lit(0), s)
-                held = F.slice(words, first + 1, F.least(F.size(words), s + p["size"]) - first)
-                whole = (s >= 0) & (s <= room) | (room <= 0) & (F.size(held) == F.size(words))
-                return F.struct(p["size"].alias("size"), first.alias("start"), (whole & F.array_contains(aligned, first)).alias("aligned"),
-                                held.alias("words"))
-            return F.transform(F.concat(inside, over), window)
-        return F.array_distinct(F.flatten(F.transform(at, of_size)))
-
-    cut = here.select("id", "key", F.explode(let(
-        F.struct(words_of(F.lower("text")).alias("w"), F.col("places").alias("p")), lambda r: windows(r["w"], r["p"])))
-        .alias("x"))
-    printed = cut.select(
-        "id", "key", "x.size", "x.start", "x.aligned", shingle_hashes(F.col("x.words")).alias("shingles"),
-        fingerprint(F.col("x.words")).alias("print"))
-    left = printed.withColumn("b", F.explode(blocks(F.col("print")))).select("*", "b.block", "b.value").drop("b")
-    right = bench.withColumn("b", F.explode(blocks(F.col("item_print")))).select(
-        F.col("size").alias("item_size"), "item_id", "item_shingles", "item_print", F.col("b.block").alias("item_block"),
-        F.col("b.value").alias("item_value"))
-    pairs = lookup_join(
-        left, right, (F.col("size") == F.col("item_size")) & (F.col("block") == F.col("item_block"))
-        & (F.col("value") == F.col("item_value")), "inner")
-    apart = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
-    common = _common(F.col("shingles"), F.col("item_shingles"))
-    close = pairs.withColumn("hamming", apart).where(F.col("hamming") <= radius).withColumn("common", common)
-    total = F.size("shingles") + F.size("item_shingles") - F.col("common")
-    similar = close.withColumn("total", total).where(100 * F.col("common") >= SIMILARITY_PERCENT * F.col("total"))
-    best = similar.groupBy("id", "key", "item_id").agg(F.max(F.struct(
-        (F.col("common") / F.col("total")).alias("similarity"), F.col("aligned"), (-F.col("hamming")).alias("near"),
-        (-F.col("start")).alias("early"), "size")).alias("b"))
-    return best.select(
+    unique = staged(bench.drop("item_id").dropDuplicates(["item"]).withColumn("item_shingles", told_apart(F.col("item_shingles"))),
+                    "bench-contents")
+    longest = unique.agg(F.max("size")).first()[0] or 0
+    found = staged(places(docs, bench, text_col), "bench-places")
+    keys = staged(found.select(F.col("key").alias("of")).distinct(), "bench-keys")
+    here = staged(docs.select(
+        F.col(f"`{id_col}`").alias("id"), F.md5(F.col(f"`{text_col}`")).alias("key"), F.col(f"`{text_col}`").alias("text"))
+        .join(handed_out(keys), F.col("key") == F.col("of"), "left_semi"), "bench-candidates")
+    texts = here.groupBy("key").agg(F.first("text").alias("text"))
+    cut = staged(cut_windows(texts, windows(found), longest).withColumn("window", _content(F.col("words"))), "bench-windows")
+    prints = staged(cut.groupBy("size", "window").agg(F.first("words").alias("words")).select(
+        "size", "window", told_apart(shingle_hashes(F.col("words"))).alias("shingles"), fingerprint(F.col("words")).alias("print")),
+        "bench-prints")
+    pairs = near_pairs(prints, unique, radius)
+    common = F.size(F.array_intersect("shingles", "item_shingles"))
+    similar = staged(
+        pairs.join(prints.select("size", F.col("window").alias("w"), "shingles"), F.col("window") == F.col("w"))
+        .join(handed_out(unique.select(F.col("item").alias("i"), F.col("size").alias("item_size"), "item_shingles")),
+              (F.col("item") == F.col("i")) & (F.col("size") == F.col("item_size")))
+        .withColumn("common", common).withColumn("total", F.size("shingles") + F.size("item_shingles") - F.col("common"))
+        .where(100 * F.col("common") >= SIMILARITY_PERCENT * F.col("total"))
+        .select(F.col("window").alias("w"), F.col("size").alias("item_size"), "item", "hamming",
+                (F.col("common") / F.col("total")).alias("similarity")), "bench-similar")
+    first = cut.groupBy("key", "size", "window").agg(F.max(F.struct("aligned", (-F.col("first")).alias("early"))).alias("at"))
+    best = staged(
+        first.join(handed_out(similar), (F.col("window") == F.col("w")) & (F.col("size") == F.col("item_size")))
+        .join(handed_out(bench.select("item_id", F.col("item").alias("i")).distinct()), F.col("item") == F.col("i"))
+        .groupBy(F.col("key").alias("of"), "item_id").agg(F.max(F.struct(
+            "similarity", "at.aligned", (-F.col("hamming")).alias("near"), "at.early", "size")).alias("b")), "bench-best")
+    return here.select("id", "key").distinct().join(handed_out(best), F.col("key") == F.col("of")).select(
         F.col("id").alias(id_col), "key", "item_id", (-F.col("b.early")).alias("start"), F.col("b.size").alias("n_words"),
         (-F.col("b.near")).alias("hamming"), "b.similarity")
 
