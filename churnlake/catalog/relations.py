@@ -76,15 +76,20 @@ class Tables:
     def split(self) -> DataFrame:
         return splitting.split_and_fold(self.ml)
 
-    def carried(self, *names: str) -> DataFrame:
+    def carried(self, *names: str, clean: DataFrame | None = None) -> DataFrame:
         """Encoded inputs of the named scorers, with the readable columns of the same customer in one struct."""
-        original = self.clean.selectExpr("*", f"struct({', '.join(self.clean.columns)}) AS original")
+        clean = self.clean if clean is None else clean
+        original = clean.selectExpr("*", f"struct({', '.join(clean.columns)}) AS original")
         inputs = [c for n in names for c in SCORERS[n][1]]
         return encoding.encode_saved(features.add_business_features(original), list(dict.fromkeys(inputs)))
 
-    def scored_by(self, name: str) -> DataFrame:
+    def score(self, clean: DataFrame) -> DataFrame:
+        """Any clean table, a stream too, with ``p``."""
+        return self.scored_by("alpha", clean)
+
+    def scored_by(self, name: str, clean: DataFrame | None = None) -> DataFrame:
         intercept, weights = SCORERS[name]
-        return self.carried(name).selectExpr("original.*", f"{scoring.logistic_score(weights, intercept, SCORE_DIGITS)} AS p")
+        return self.carried(name, clean=clean).selectExpr("original.*", f"{scoring.logistic_score(weights, intercept, SCORE_DIGITS)} AS p")
 
     @cached_property
     def scored(self) -> DataFrame:
