@@ -11,7 +11,8 @@ than a piece is scored in several pieces whose sums are added, so that memory st
 
 Defined results: null texts and texts without a letter get ``und`` with score 0; without any labelled row every text
 is ``und``; ties go to the first language by name; a null id hashes like the empty text; an empty table gives an empty
-result. Other columns of the input are not read.
+result. Any number of languages is learned: the matrix is made and broadcast for ``AT_ONCE`` of them at a time, and further
+ones are scored in further passes that carry each text's best language so far. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -24,13 +25,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import ship_package
+from churnlake.llm.common import ship_package, staged
 
 BITS = 16
 ORDERS = (1, 2, 3)
 PIECE = 400_000
 TRAIN_ROWS = 4_000
-MAX_LANGUAGES = 200
+#: Languages of one matrix: 52 MB in a worker.
+AT_ONCE = 200
 TRAIN_TASKS = 16
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _SPACE = 32
@@ -45,7 +47,7 @@ def _letter_table() -> np.ndarray:
 def pieces(texts: list[str], size: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Code points of whole texts or parts of long ones, with the index of each text and where it begins.
 
-    Parts of one text overlap by the longest n-gram less one character, so every n-gram counts once.
+    Parts of one text overlap by the longest n-gram less one character, so no n-gram is lost; the few at a cut count twice.
     """
     keep, held, lap = [], 0, ORDERS[-1] - 1
     for row, text in enumerate(texts):
@@ -55,7 +57,7 @@ def pieces(texts: list[str], size: int = PIECE) -> Iterator[tuple[np.ndarray, np
             if held + len(part) > size and keep:
                 yield _joined(keep)
                 keep, held = [], 0
-            keep.append((row, part, at > 0))
+            keep.append((row, part))
             held += len(part)
             if at + size >= len(text):
                 break
@@ -64,11 +66,11 @@ def pieces(texts: list[str], size: int = PIECE) -> Iterator[tuple[np.ndarray, np
         yield _joined(keep)
 
 
-def _joined(keep: list[tuple[int, str, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    rows = np.array([r for r, _, _ in keep])
-    text = " ".join(p.lower() for _, p, _ in keep)
+def _joined(keep: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows = np.array([r for r, _ in keep])
+    text = "".join(p.lower() + " " for _, p in keep)  # every text ends with a space, wherever it stands in a batch
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    ends = np.cumsum([len(p.lower()) + 1 for _, p, _ in keep])
+    ends = np.cumsum([len(p.lower()) + 1 for _, p in keep])
     return points, rows, np.concatenate([[0], ends[:-1]])
 
 
@@ -96,18 +98,14 @@ def _held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages by name and their log-probabilities (row 0: priors in column 0 of an extra last column).
+def train(labelled: DataFrame, sizes: dict[str, int], names: list[str], train_rows: int = TRAIN_ROWS) -> np.ndarray:
+    """Log-probabilities of ``names``, some of the languages whose labelled rows ``sizes`` counts.
 
     ``labelled`` has id, text, lang. The returned matrix has one row per language and 2**BITS + 1 columns, the last of
     which is the log prior.
     """
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    names = sorted(sizes)
     if not names:
-        return [], np.zeros((0, (1 << BITS) + 1), dtype=np.float32)
+        return np.zeros((0, (1 << BITS) + 1), dtype=np.float32)
     share = F.create_map(*[F.lit(x) for k in names for x in (k, min(1.0, train_rows / sizes[k]))])
     luck = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("train")), F.lit(1 << 30)) / float(1 << 30)
     sample = labelled.where(luck < F.element_at(share, F.col("lang"))).select("lang", "text").repartition(TRAIN_TASKS)
@@ -130,7 +128,7 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str],
     counts[found["lang"].to_numpy(int), found["bucket"].to_numpy(int)] += found["n"].to_numpy(float)
     table = np.log(counts / counts.sum(axis=1, keepdims=True))
     prior = np.log(np.array([sizes[k] for k in names], dtype=float) / sum(sizes.values()))
-    return names, np.concatenate([table, prior[:, None]], axis=1).astype(np.float32)
+    return np.concatenate([table, prior[:, None]], axis=1).astype(np.float32)
 
 
 def score_texts(texts: list[str], table: np.ndarray) -> np.ndarray:
@@ -145,31 +143,48 @@ def score_texts(texts: list[str], table: np.ndarray) -> np.ndarray:
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             train_rows: int = TRAIN_ROWS) -> DataFrame:
+             train_rows: int = TRAIN_ROWS, at_once: int = AT_ONCE) -> DataFrame:
     """id, held_out, lang_pred, score. Rows of the held-out fold and null languages are not learned from."""
     doc_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     labelled = docs.where(~_held_out(doc_id) & F.col(f"`{lang_col}`").isNotNull() & text.isNotNull()).select(
         doc_id.alias("id"), text.alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     ship_package(docs.sparkSession)
-    names, table = train(labelled, train_rows)
-    shared = docs.sparkSession.sparkContext.broadcast((names, table))
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one row per language
+    names = sorted(sizes)
+    parts = [names[i:i + at_once] for i in range(0, len(names), at_once)] or [[]]
     readable = F.when(text.rlike(r"\p{L}"), text)
     kind = docs.select(doc_id).schema[0].dataType.simpleString()
+    scored = docs.select(doc_id.alias("id"), _held_out(doc_id).alias("held_out"), readable.alias("text"))
+    for number, part in enumerate(parts):
+        if number:
+            scored = staged(scored, "languages")
+        scored = _scored(scored, kind, part, train(labelled, sizes, part, train_rows), number > 0, part is parts[-1])
+    return scored.select(F.col("id").alias(id_col), "held_out", "lang_pred", "score")
+
+
+def _scored(texts: DataFrame, kind: str, names: list[str], table: np.ndarray, again: bool, last: bool) -> DataFrame:
+    """``texts`` scored with the languages ``names``: best language, its log joint and the sum of all joints over that one;
+    ``again`` if they carry these already. The last pass has the share of the best instead."""
+    shared = texts.sparkSession.sparkContext.broadcast((names, table))
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         langs, matrix = shared.value
         for batch in batches:
-            out = batch[["id", "held_out"]].copy()
-            out["lang_pred"], out["score"] = "und", 0.0
+            out = batch.copy() if again else batch.assign(lang_pred="und", best=-np.inf, total=0.0)
             rows = np.flatnonzero(batch["text"].notna().to_numpy())
             if len(rows) and langs:
                 joint = score_texts(batch["text"].iloc[rows].tolist(), matrix)
-                best = joint.argmax(axis=1)
-                share = 1 / np.exp(joint - joint.max(axis=1, keepdims=True)).sum(axis=1)
-                out.iloc[rows, 2] = np.array(langs, dtype=object)[best]
-                out.iloc[rows, 3] = share
+                high, before = joint.max(axis=1), out["best"].to_numpy()[rows]
+                top, found = np.maximum(high, before), out["lang_pred"].to_numpy(dtype=object)
+                found[rows[high > before]] = np.array(langs, dtype=object)[joint.argmax(axis=1)[high > before]]
+                sums = out[["best", "total"]].to_numpy(dtype=float)
+                sums[rows, 1] = sums[rows, 1] * np.exp(before - top) + np.exp(joint - top[:, None]).sum(axis=1)
+                sums[rows, 0] = top
+                out["lang_pred"], out["best"], out["total"] = found, sums[:, 0], sums[:, 1]
+            if last:
+                out["score"] = np.divide(1.0, out["total"], out=np.zeros(len(out)), where=out["total"].to_numpy() > 0)
+                out = out[["id", "held_out", "lang_pred", "score"]]
             yield out
 
-    ready = docs.select(doc_id.alias("id"), _held_out(doc_id).alias("held_out"), readable.alias("text"))
-    scored = ready.mapInPandas(predict, f"id {kind}, held_out boolean, lang_pred string, score double")
-    return scored.select(F.col("id").alias(id_col), "held_out", "lang_pred", "score")
+    columns = "lang_pred string, score double" if last else "text string, lang_pred string, best double, total double"
+    return texts.mapInPandas(predict, f"id {kind}, held_out boolean, {columns}")
