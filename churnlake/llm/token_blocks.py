@@ -17,10 +17,11 @@ files of the tasks that succeeded, so that files of lost or repeated attempts ar
 the file system of the folder's URI. A document's position over the whole table is the sum of the files before its own,
 from one manifest row per file, plus its position inside the file.
 
-Encoding uses the given tokenizer on the pieces between single spaces: the tokenizer cuts there anyway (a space that
-stands between two other characters always begins a new word for it), so that the ids are those of the whole text,
-and each distinct piece is encoded once and then kept, in tables of about ``CACHE`` pieces per worker. A text that
-contains the text of an added token is encoded whole, and the tokenizer gives that token, as it does for any caller.
+Encoding asks the given tokenizer only for pieces of text not met before. Bytes are cut, a segment of texts at a time, where the
+tokenizer's own rule always begins a new word (see ``cuts_of``), so that the ids are those of the whole text. Equal pieces of a
+segment are found by a hash and compared byte by byte; each distinct one is looked up once, in tables of about ``CACHE``
+pieces per worker. A text that contains the text of an added token is encoded whole, and the tokenizer gives that token, as
+it does for any caller.
 
 Defined results: a null or empty text is the end id alone; null ids come first; repeated ids are all written, ordered
 by a hash of their text; ids must be integers; an empty table writes no file and gives an empty result.
@@ -45,6 +46,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from churnlake.llm.common import ship_package, staged
+from churnlake.llm.textbytes import run_hashes
 from churnlake.session import scratch_path
 
 MAGIC = b"PFRBLOCK"
@@ -55,12 +57,56 @@ PERCENTILE = 99
 END_ID = 0
 CACHE = 600_000
 JOINED = 2_000
-SEGMENT = 2_000_000
+SEGMENT = 3_000_000
 READ_BLOCKS = 256
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 _PLAIN = re.compile(r" \S(?:[^ ]*\S)?")
-_UNSAFE = re.compile(r"\s |\s\s")
-_MARK = "\U0010fffe"
+#: Ends a text in a segment's bytes; no byte of UTF-8.
+_STOP = 0xFF
+
+
+def _before(x: np.ndarray, n: int = 1) -> np.ndarray:
+    """The value ``n`` places earlier, False at the start."""
+    out = np.zeros_like(x)
+    out[n:] = x[:-n]
+    return out
+
+
+def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By byte: whether it is a letter or digit, a mark, or part of something other than white space (all of ASCII)."""
+    letter, mark, firm = np.zeros(256, bool), np.zeros(256, bool), np.ones(256, bool)
+    for code in range(128):
+        letter[code] = chr(code).isalnum()
+        firm[code] = not chr(code).isspace()
+        mark[code] = firm[code] and chr(code).isprintable() and not letter[code]
+    firm[_STOP] = False
+    return letter, mark, firm
+
+
+_LETTER, _MARK, _FIRM = _classes()
+
+
+def cuts_of(data: np.ndarray) -> np.ndarray:
+    """Whether a piece begins at a byte of texts that each end in ``_STOP``.
+
+    Cuts are made before white space that follows something else, after a single line feed between others, and before an
+    ASCII mark that follows a letter or digit (of ASCII or U+00C0 to U+00FF). The tokenizer's rule for words ends one at each of
+    these whatever stands around. Next to white space other than spaces and line feeds nothing is cut.
+    """
+    letter, firm = _LETTER[data], _FIRM[data]
+    if ((data >= 0x80) & (data != _STOP)).any():
+        one, two = np.append(data[1:], _STOP), np.append(data[2:], [_STOP, _STOP])
+        letter |= _before(data == 0xC3) & (data != 0x97) & (data != 0xB7)
+        spaces = (data == 0xC2) & ((one == 0x85) | (one == 0xA0))
+        spaces |= (data == 0xE1) & ((one == 0x9A) | (one == 0xA0)) | (data == 0xE3) & (one == 0x80) & (two == 0x80)
+        spaces |= (data == 0xE2) & ((one == 0x81) | (one == 0x80) & ((two <= 0x8F) | (two >= 0xA8) & (two <= 0xAF)))
+        if spaces.any():
+            firm &= ~(spaces | _before(spaces) | _before(spaces, 2))
+    line = data == 0x0A
+    cut = ((data == 0x20) | line) & _before(firm)
+    cut |= firm & _before(line) & _before(firm, 2)
+    cut |= _MARK[data] & _before(letter)
+    return cut | _before(data == _STOP)
 
 
 class PieceEncoder:
@@ -80,13 +126,13 @@ class PieceEncoder:
         cutter = rules["pre_tokenizer"] or {}
         #: Texts with the text of an added token, such as <|endoftext|>, are not cut.
         self.added = [t["content"] for t in rules.get("added_tokens") or []]
-        #: Whether the tokenizer cuts a text before single spaces; if not, whole texts are its pieces.
+        #: Whether the tokenizer cuts a text into words by the rule that cuts_of knows; if not, whole texts are encoded.
         self.cuts = rules["normalizer"] is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", False) \
             and not cutter.get("add_prefix_space", True)
         size = self.tokenizer.get_vocab_size()
         self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         """The ids of distinct pieces, as little-endian 32-bit integers."""
@@ -108,36 +154,63 @@ class PieceEncoder:
                 out[i] = np.array(e.ids, "<u4").tobytes()
         return out
 
-    def ids(self, pieces: list[str]) -> list[bytes]:
-        """The ids of every piece, as little-endian 32-bit integers."""
+    def known(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of distinct pieces, as little-endian 32-bit integers."""
         if len(self.young) > CACHE:
             self.young, self.old = {}, self.young
         found = list(map(self.young.get, pieces))
         lost = [i for i, ids in enumerate(found) if ids is None]
-        if lost:
-            new = {pieces[i] for i in lost}
-            again = [p for p in new if p in self.old]
-            self.young.update(zip(again, map(self.old.__getitem__, again)))
-            unknown = list(new.difference(again))
-            self.young.update(zip(unknown, self._encode(unknown)))
-            for i in lost:
-                found[i] = self.young[pieces[i]]
+        older = list(map(self.old.get, [pieces[i] for i in lost]))
+        unknown = [i for i, ids in zip(lost, older) if ids is None]
+        new = iter(self._encode([pieces[i].decode() for i in unknown]))
+        for i, ids in zip(lost, older):
+            found[i] = self.young[pieces[i]] = next(new) if ids is None else ids
         return found
 
+    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in order, and where each text's ids end."""
+        raw = b"".join([t + bytes([_STOP]) for t in texts])
+        data = np.frombuffer(raw, np.uint8)
+        stops = np.flatnonzero(data == _STOP)
+        cut = cuts_of(data)
+        cut[:1] = True
+        starts = np.flatnonzero(cut & (data != _STOP))
+        last = np.searchsorted(starts, stops)
+        if not len(starts):
+            return np.zeros(0, "<u4"), np.zeros(len(texts), np.int64)
+        ends = np.minimum(np.append(starts[1:], len(data)), stops[np.searchsorted(stops, starts)])
+        _, lead, number = np.unique(run_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        lead, number = _separate(data, starts, ends, lead, number)
+        found = self.known([raw[a:b] for a, b in zip(starts[lead].tolist(), ends[lead].tolist())])
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begins = np.cumsum(sizes) - sizes
+        counts = sizes[number]
+        after = np.cumsum(counts)
+        at = np.repeat(begins[number] - (after - counts), counts) + np.arange(after[-1])
+        return np.frombuffer(b"".join(found), "<u4")[at], np.append(0, after)[last]
+
+
+def _separate(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lead: np.ndarray,
+              number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces whose bytes are not those of the piece that leads their number become numbers of their own."""
+    sizes = ends - starts
+    differs = sizes != sizes[lead][number]
+    step = np.where(differs, 0, starts[lead][number] - starts)
+    own = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    wrong = np.flatnonzero(data[own] != data[own + np.repeat(step, sizes)])
+    differs[np.searchsorted(starts, own[wrong], side="right") - 1] = True
+    odd = np.flatnonzero(differs)
+    number = number.copy()
+    number[odd] = len(lead) + np.arange(len(odd))
+    return np.concatenate([lead, odd]), number
+
 
 @functools.cache
 def encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def pieces_of(text: str) -> list[str]:
-    """The text cut before every single space that stands between two characters that are not white space."""
-    if _MARK in text or _UNSAFE.search(text):
-        return [p for p in _SAFE_CUT.split(text) if p]
-    return [p for p in text.replace(" ", _MARK + " ").split(_MARK) if p]
-
-
-def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
+def segments(text: str, size: int) -> Iterator[str]:
     """Parts of a long text, cut where pieces are cut."""
     at = 0
     while len(text) - at > size:
@@ -151,30 +224,35 @@ def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
 
 def encoded(texts: list[str], path: str, end_id: int = END_ID) -> Iterator[tuple[int, np.ndarray, bool]]:
     """(row, ids, whether they end the row's text), in order; groups of rows share a call, long texts come in parts."""
-    held: list[tuple[int, int, bool]] = []
-    pieces: list[str] = []
+    held: list[tuple[int, bool]] = []
+    parts: list[bytes] = []
     size = 0
     rules = encoder(path)
-    end = np.array([end_id], "<u4").tobytes()
 
     def flush():
-        ids, at = rules.ids(pieces), 0
-        for row, count, last in held:
-            data = b"".join(ids[at:at + count])
-            at += count
-            yield row, np.frombuffer(data + end if last else data, "<u4"), last
+        ids, ends = rules.ids(parts)
+        closed = np.array([last for _, last in held], dtype=bool)
+        ids = np.insert(ids, ends[closed], end_id)
+        ends = (ends + np.cumsum(closed)).tolist()
+        for (row, last), a, b in zip(held, [0, *ends], ends):
+            yield row, ids[a:b], last
 
     for row, text in enumerate(texts):
-        whole = not rules.cuts or any(added in text for added in rules.added)
-        parts = [text] if whole else list(segments(text))
-        for k, part in enumerate(parts):
-            cut = ([part] if part else []) if whole else pieces_of(part)
-            held.append((row, len(cut), k == len(parts) - 1))
-            pieces += cut
-            size += len(part)
+        if not rules.cuts or any(added in text for added in rules.added):
+            if held:
+                yield from flush()
+                held, parts, size = [], [], 0
+            whole = rules.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            yield row, np.array([*whole, end_id], "<u4"), True
+            continue
+        cut = list(segments(text, SEGMENT))
+        for k, part in enumerate(cut):
+            held.append((row, k == len(cut) - 1))
+            parts.append(part.encode())
+            size += len(parts[-1])
             if size >= SEGMENT:
                 yield from flush()
-                held, pieces, size = [], [], 0
+                held, parts, size = [], [], 0
     if held:
         yield from flush()
 
