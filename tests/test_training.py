@@ -48,6 +48,14 @@ def test_tree_models_learn_and_report(spark, data, name, settings):
     assert importances[0].feature == "a" and sum(r.importance for r in importances) == pytest.approx(1)
 
 
+def test_forest_keeps_the_node_of_each_row_and_stays_the_same(data):
+    """Else every tree is walked from its root for every row at every level: half of the time of a fit."""
+    _, df = data
+    kept, walked = (models.fit("Random Forest", df, FEATURES, numTrees=20, **s) for s in ({}, {"cacheNodeIds": False}))
+    assert kept.stages[-1].getCacheNodeIds()
+    assert kept.stages[-1].toDebugString.splitlines()[1:] == walked.stages[-1].toDebugString.splitlines()[1:]
+
+
 def test_reload_gives_equal_scores(spark, data):
     _, df = data
     model = models.fit("Decision Tree", df, FEATURES)
