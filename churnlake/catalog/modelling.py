@@ -93,7 +93,7 @@ class Prepared:
     """Split table kept for the passes of a fit, its scaler, and the scaled table."""
 
     def __init__(self, t: Tables):
-        self.names = t.feature_names
+        self.t, self.names = t, t.feature_names
         self.split = t.split.persist()
         self.train = self.split.where(F.col("split") == "train")
         self.parameters = scaling.fit_scaler(self.train)
@@ -103,10 +103,14 @@ class Prepared:
     def fit(self, name: str):
         return models.fit(name, self.weighted, self.names)
 
+    def fit_all(self, names=models.MODEL_NAMES) -> dict:
+        return models.fit_all(names, self.weighted, self.names)
+
     def test_metrics(self, fitted: dict) -> DataFrame:
+        """Metrics per model from scores that are written first: the evaluation passes over them more than once."""
         test = self.scaled.where(F.col("split") == "test")
         parts = [models.score(m, test).select(F.lit(n).alias("model"), "Churn", "p") for n, m in fitted.items()]
-        return evaluation.evaluate(reduce(DataFrame.unionByName, parts), by=["model"])
+        return evaluation.evaluate(_written(self.t, reduce(DataFrame.unionByName, parts), "test_scores"), by=["model"])
 
 
 def _written(t: Tables, df: DataFrame, name: str) -> DataFrame:
@@ -200,7 +204,7 @@ def _(t: Tables):
 def _(t: Tables):
     ready = Prepared(t)
     path = scratch_path(t.spark, "models")
-    fitted = {n: ready.fit(n) for n in models.MODEL_NAMES}
+    fitted = ready.fit_all()
     for name, model in fitted.items():
         models.save(model, f"{path}/{name.lower().replace(' ', '_')}")
     sinks.write_table(evaluation.selection_score(ready.test_metrics(fitted)), f"{path}/comparison")

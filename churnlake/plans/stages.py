@@ -81,7 +81,7 @@ def run_training(
     test = tables.read_split(spark, features_path, "test")
     scaler = scaling.fit_scaler(train)
     weighted = models.balanced(scaling.apply_scaler(train, scaler))
-    fitted = {n: models.fit(n, weighted, columns, **settings.get(n, {})) for n in names}
+    fitted = models.fit_all(names, weighted, columns, overrides=settings)
     for name, model in fitted.items():
         models.save(model, f"{out_path}/all/{name.lower().replace(' ', '_')}")
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
@@ -57,6 +59,19 @@ def fit(name: str, train: DataFrame, features: Sequence[str], label: str = "Chur
     return Pipeline(stages=[assembler, estimator(name, label, total, **overrides)]).fit(train)
 
 
+def fit_all(
+    names: Sequence[str], train: DataFrame, features: Sequence[str], label: str = "Churn",
+    overrides: Mapping[str, Mapping] | None = None,
+) -> dict[str, PipelineModel]:
+    """All named models on the same rows, submitted together: the short jobs of one fit use the cores that the
+    last tasks of another leave idle. Persist ``train`` before."""
+    def run(name):
+        return fit(name, train, features, label, **(overrides or {}).get(name, {}))
+
+    with ThreadPool(len(names)) as pool:
+        return dict(zip(names, pool.map(inheritable_thread_target(train.sparkSession)(run), names, chunksize=1)))
+
+
 def score(model: PipelineModel, df: DataFrame, probability: str = PROBABILITY) -> DataFrame:
     """Probability of the positive class as a plain column; the vector columns are dropped."""
     scored = model.transform(df).withColumn(probability, vector_to_array("probability")[1])

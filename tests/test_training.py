@@ -1,10 +1,13 @@
 """Fitted models: the optimum of the penalised loss, balanced weights, reload, rules and importances."""
 
+import threading
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from churnlake.catalog import modelling
 from churnlake.session import scratch_path
 from churnlake.training import crossval, models
 
@@ -56,6 +59,26 @@ def test_forest_keeps_the_node_of_each_row_and_stays_the_same(data):
     assert kept.stages[-1].toDebugString.splitlines()[1:] == walked.stages[-1].toDebugString.splitlines()[1:]
 
 
+def test_models_are_fitted_side_by_side(data, monkeypatch):
+    """Each fit waits for the other to have begun; the models are those of single fits."""
+    _, df = data
+    settings = {"Random Forest": {"numTrees": 5}}
+    alone = {n: models.fit(n, df, FEATURES, **settings.get(n, {})) for n in ("Decision Tree", "Random Forest")}
+    begun, fit = threading.Barrier(2, timeout=60), models.fit
+    monkeypatch.setattr(models, "fit", lambda *a, **b: (begun.wait(), fit(*a, **b))[1])
+    together = models.fit_all(list(alone), df, FEATURES, overrides=settings)
+    for name, model in alone.items():
+        assert together[name].stages[-1].toDebugString.splitlines()[1:] == model.stages[-1].toDebugString.splitlines()[1:]
+
+
+def test_test_scores_are_written_before_they_are_evaluated(spark, folder):
+    """The evaluation reads a table; it does not run the models once per pass."""
+    ready = modelling.Prepared(modelling.Tables(spark, folder, True))
+    metrics = ready.test_metrics(ready.fit_all(["Decision Tree"]))
+    assert "InMemory" not in metrics._jdf.queryExecution().optimizedPlan().toString()
+    assert metrics.count() == 1
+
+
 def test_reload_gives_equal_scores(spark, data):
     _, df = data
     model = models.fit("Decision Tree", df, FEATURES)
