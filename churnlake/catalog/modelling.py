@@ -165,7 +165,8 @@ def _(t: Tables):
 def _(t: Tables):
     """Importances of every tree model."""
     ready = Prepared(t)
-    tables = [models.feature_importances(t.spark, ready.fit(n), ready.names).withColumn("model", F.lit(n)) for n in TREE_MODELS]
+    tables = [models.feature_importances(t.spark, m, ready.names).withColumn("model", F.lit(n))
+              for n, m in ready.fit_all(TREE_MODELS).items()]
     return reduce(DataFrame.unionByName, tables)
 
 
