@@ -158,7 +158,7 @@ def _(t: Tables):
 @query("ml_7_final_fit", staged=True)
 def _(t: Tables):
     ready = Prepared(t)
-    return ready.test_metrics({n: ready.fit(n) for n in models.MODEL_NAMES})
+    return ready.test_metrics(ready.fit_all())
 
 
 @query("ml_8_feature_importances", staged=True)
