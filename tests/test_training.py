@@ -1,13 +1,14 @@
 """Fitted models: the optimum of the penalised loss, balanced weights, reload, rules and importances."""
 
 import threading
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from churnlake.catalog import modelling
+from churnlake.catalog import QUERIES, modelling, relations
 from churnlake.session import scratch_path
 from churnlake.training import crossval, models
 
@@ -106,3 +107,24 @@ def test_every_training_row_is_scored_once_out_of_fold(data):
     row = crossval.cross_validate(scored).first()
     assert 0.6 < row.roc_auc <= 1 and row.threshold == 0.5
     assert scored.where(F.col("model") != "Decision Tree").count() == 0
+
+
+def test_the_registered_cross_validation_takes_every_model(spark, data, monkeypatch):
+    """The whole queries over rows of this test, with small ensembles: no model is without out-of-fold metrics."""
+    _, df = data
+    part = F.when(F.col("customerID").cast("int") % 6 == 0, "test").otherwise("train")
+    fold = F.when(F.col("split") == "train", F.col("fold"))
+    rows = df.drop("weight").coalesce(1).withColumn("split", part).withColumn("fold", fold)
+    small = {"Random Forest": {"numTrees": 3, "maxDepth": 3}, "Gradient Boosting": {"maxIter": 3, "maxDepth": 2}}
+    estimator = models.estimator
+    monkeypatch.setattr(models, "estimator", lambda name, *a, **b: estimator(name, *a, **{**small.get(name, {}), **b}))
+    monkeypatch.setattr(relations, "Tables", lambda *a: SimpleNamespace(spark=spark, split=rows, feature_names=FEATURES))
+    validated = {r.model: r for r in QUERIES["ml_6_cross_validation"](spark, "").collect()}
+    report = {r.model: r for r in QUERIES["evl_8_comparison_report"](spark, "").collect()}
+    assert set(validated) == set(report) == set(models.MODEL_NAMES)
+    for name, row in report.items():
+        alone = validated[name]
+        assert [row.cv_accuracy, row.cv_f1, row.cv_recall, row.cv_roc_auc] == pytest.approx(
+            [alone.accuracy, alone.f1, alone.recall, alone.roc_auc], abs=1e-4)
+        assert 0.5 < row.cv_roc_auc <= 1
+    spark.catalog.clearCache()
